@@ -1,0 +1,7 @@
+"""Streaming.
+
+The analytics this package rebuilds are batch only: there is no stream, watermark,
+windowed aggregation or stateful operator among them, so nothing lives here.  Every
+operator is a lazy DataFrame function and can be applied to a micro-batch inside
+``foreachBatch`` unchanged.
+"""
