@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketry.functions import fixed
 from basketry.functions.exact import cents, from_cents, half_even, half_up_units
 from basketry.functions.ordering import exact_median, exact_rank
+from basketry.session import materialize
 
 
 def frequency_monetary(orders_clean: DataFrame) -> DataFrame:
@@ -33,6 +34,8 @@ def rfm_raw(orders_clean: DataFrame) -> DataFrame:
     """frequency/monetary left-joined with recency; a missing recency takes the
     median of the present ones (exact, interpolated)."""
     joined = frequency_monetary(orders_clean).join(recency(orders_clean), "user_id", "left")
+    # one row per user, read by the median job and by three ranking passes: write once
+    joined = materialize(joined)
     med = exact_median(joined, "recency")
     return joined.withColumn("recency", F.coalesce(F.col("recency"), med))
 
@@ -64,10 +67,16 @@ def action_of(segment: Column) -> Column:
 
 
 def rfm_scores(rfm: DataFrame, bands: int = fixed.RFM_BANDS) -> DataFrame:
-    """R (low recency best), F, M scores, cell, score, segment, action."""
-    df = quintile_band(rfm, "recency", "_rb", bands)
-    df = quintile_band(df, "frequency", "F", bands)
-    df = quintile_band(df, "monetary", "M", bands)
+    """R (low recency best), F, M scores, cell, score, segment, action.
+
+    The three bands are ranked independently from the same per-user rows and joined
+    back on user_id, so no ranking pass recomputes another.
+    """
+    def band(value, out):
+        return quintile_band(rfm.select("user_id", value), value, out, bands).select("user_id", out)
+    df = (rfm.join(band("recency", "_rb"), "user_id")
+          .join(band("frequency", "F"), "user_id")
+          .join(band("monetary", "M"), "user_id"))
     df = df.withColumn("R", (F.lit(bands + 1) - F.col("_rb")).cast("int")).drop("_rb")
     df = df.withColumn("rfm_cell", F.concat(F.col("R").cast("string"), F.col("F").cast("string")))
     df = df.withColumn("rfm_score", (F.col("R") + F.col("F") + F.col("M")).cast("int"))

@@ -56,3 +56,188 @@ def q_rfm_segments(spark, sf):
 def q_segment_summary(spark, sf):
     _, _, r = _rfm(spark, sf)
     return extracts.segment_summary(r)
+
+
+# --- sources, panel preparation -------------------------------------------------------
+from basketry.operators import quality, views  # noqa: E402
+from basketry.sources import files, prices as price_src, star  # noqa: E402
+
+
+def _panel(spark, sf, **kw):
+    return star_panel(spark, sf, **kw)
+
+
+def _raw_tables(p):
+    return {"orders": p.orders, "order_products": p.order_products_raw, "products": p.products,
+            "product_prices": p.product_prices}
+
+
+@query("ensure_prices")
+def q_ensure_prices(spark, sf):
+    p = _panel(spark, sf)
+    return _as_double(price_src.ensure_prices(p.products, p.product_prices), "price")
+
+
+@query("derived_prices")
+def q_derived_prices(spark, sf):
+    p = _panel(spark, sf)
+    return _as_double(price_src.ensure_prices(p.products, None), "price")
+
+
+@query("union_prior_train")
+def q_union_prior_train(spark, sf):
+    lines = _panel(spark, sf).order_products
+    prior = lines.where(F.col("eval_set") == "prior").drop("eval_set")
+    train = lines.where(F.col("eval_set") == "train").drop("eval_set")
+    return files.union_prior_train(prior, train)
+
+
+@query("constraint_violations")
+def q_constraint_violations(spark, sf):
+    p = _panel(spark, sf)
+    return quality.constraint_violations({
+        "departments": p.departments, "aisles": p.aisles, "products": p.products,
+        "product_prices": p.product_prices, "orders": p.orders, "order_products": p.order_products_raw})
+
+
+@query("table_counts")
+def q_table_counts(spark, sf):
+    p = _panel(spark, sf)
+    return quality.table_counts({"orders": p.orders, "order_products": p.order_products_raw,
+                                 "products": p.products})
+
+
+@query("order_sequence")
+def q_order_sequence(spark, sf):
+    return _panel(spark, sf).orders.select("order_id", "user_id", "order_number")
+
+
+@query("eval_split")
+def q_eval_split(spark, sf):
+    return _panel(spark, sf).orders.select("order_id", "user_id", "eval_set")
+
+
+@query("order_gaps")
+def q_order_gaps(spark, sf):
+    return _panel(spark, sf).orders.select("order_id", "days_since_prior_order")
+
+
+@query("order_calendar")
+def q_order_calendar(spark, sf):
+    return _panel(spark, sf).orders.select("order_id", "order_dow", "order_hour_of_day")
+
+
+@query("basket_dedup")
+def q_basket_dedup(spark, sf):
+    return star.dedup_basket(star.star_lines(spark, sf))
+
+
+@query("cart_position")
+def q_cart_position(spark, sf):
+    return _panel(spark, sf).order_products.select("order_id", "product_id", "add_to_cart_order")
+
+
+@query("reordered_flag")
+def q_reordered_flag(spark, sf):
+    return _panel(spark, sf).order_products.select("order_id", "product_id", "reordered")
+
+
+@query("min_history")
+def q_min_history(spark, sf):
+    return star.min_history(_panel(spark, sf).orders).select("order_id", "user_id", "order_number")
+
+
+# --- data quality ---------------------------------------------------------------------
+
+@query("dq_null_counts")
+def q_dq_null_counts(spark, sf):
+    return quality.null_counts(_raw_tables(_panel(spark, sf)))
+
+
+@query("dq_report")
+def q_dq_report(spark, sf):
+    t = _raw_tables(_panel(spark, sf))
+    return quality.quality_checks(t["orders"], t["order_products"], t["products"], t["product_prices"])
+
+
+# --- cleaning, views --------------------------------------------------------------------
+
+@query("order_basket_value")
+def q_order_basket_value(spark, sf):
+    p = _panel(spark, sf)
+    return _as_double(clean.order_basket_value(p.order_products, p.product_prices), "order_value")
+
+
+@query("order_value_view")
+def q_order_value_view(spark, sf):
+    p = _panel(spark, sf)
+    return _as_double(views.order_value_view(p.orders, p.order_products, p.product_prices), "order_value")
+
+
+@query("customer_orders_view")
+def q_customer_orders_view(spark, sf):
+    p = _panel(spark, sf)
+    v1 = views.order_value_view(p.orders, p.order_products, p.product_prices)
+    return _as_double(views.customer_orders_view(v1), "total_spend")
+
+
+@query("department_loyalty")
+def q_department_loyalty(spark, sf):
+    p = _panel(spark, sf)
+    return extracts.department_loyalty(p.order_products, p.orders, p.products, p.departments)
+
+
+# --- RFM --------------------------------------------------------------------------------
+
+@query("rfm_frequency_monetary")
+def q_rfm_fm(spark, sf):
+    _, oc = _clean(spark, sf)
+    return _as_double(rfm.frequency_monetary(oc), "monetary", "avg_order_value")
+
+
+@query("rfm_raw")
+def q_rfm_raw(spark, sf):
+    _, oc = _clean(spark, sf)
+    return _as_double(rfm.rfm_raw(oc), "monetary", "avg_order_value")
+
+
+@query("rfm_scores")
+def q_rfm_scores(spark, sf):
+    _, oc = _clean(spark, sf)
+    return rfm.rfm_scores(rfm.rfm_raw(oc)).select("user_id", "R", "F", "M", "rfm_cell", "rfm_score")
+
+
+@query("segment_distribution")
+def q_segment_distribution(spark, sf):
+    return rfm.segment_distribution(_rfm(spark, sf)[2])
+
+
+@query("segment_size_value")
+def q_segment_size_value(spark, sf):
+    return _as_double(rfm.segment_size_value(_rfm(spark, sf)[2]), "total_monetary")
+
+
+@query("rf_grid")
+def q_rf_grid(spark, sf):
+    return rfm.rf_grid(_rfm(spark, sf)[2])
+
+
+# --- extracts ---------------------------------------------------------------------------
+
+@query("department_loyalty_extract")
+def q_department_loyalty_extract(spark, sf):
+    p = _panel(spark, sf)
+    return extracts.department_loyalty_extract(
+        extracts.department_loyalty(p.order_products, p.orders, p.products, p.departments))
+
+
+@query("product_loyalty")
+def q_product_loyalty(spark, sf):
+    p = _panel(spark, sf)
+    return extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
+
+
+@query("order_trends")
+def q_order_trends(spark, sf):
+    _, oc = _clean(spark, sf)
+    return extracts.order_trends(oc)

@@ -55,3 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", configured)
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Cut the lineage of an intermediate that several jobs read (range sampling, scalar
+    subqueries, a second pass): write it once to the reliable checkpoint directory."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

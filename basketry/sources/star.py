@@ -56,10 +56,17 @@ def sequence_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def dedup_basket(lines: DataFrame) -> DataFrame:
+    """P5: one row per (order, product) with the line number of its first occurrence —
+    an aggregate (map-side partial min), not a window, and not ``dropDuplicates``,
+    which would keep an arbitrary row."""
+    return lines.groupBy("order_id", "product_id").agg(F.min("line").alias("first_line"))
+
+
 def basket_lines(lines: DataFrame, dedup: bool = True) -> DataFrame:
     """P5–P6 on (order_id, product_id, line) → lines with ``add_to_cart_order``."""
     if dedup:
-        lines = lines.groupBy("order_id", "product_id").agg(F.min("line").alias("first_line"))
+        lines = dedup_basket(lines)
     else:
         lines = lines.withColumnRenamed("line", "first_line")
     lines = lines.withColumn("_cart_chunk", F.call_function("div", F.col("first_line"), F.lit(CART_CHUNK)))
@@ -122,6 +129,15 @@ def catalog(part: DataFrame, grain: str = "part"):
     return products, departments.select("department_id", "department"), aisles.select("aisle_id", "aisle"), prices, part_map
 
 
+def star_lines(spark: SparkSession, sf_dir: str, part_map: DataFrame | None = None) -> DataFrame:
+    """Raw lines as (order_id, product_id, line); ``part_map`` re-keys parts to families."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), "l_partkey", F.col("l_linenumber").alias("line"))
+    if part_map is None:
+        return li.withColumnRenamed("l_partkey", "product_id")
+    return li.join(part_map, "l_partkey").drop("l_partkey")
+
+
 def star_panel(spark: SparkSession, sf_dir: str, grain: str = "part", min_orders: int | None = None) -> Panel:
     """Build the lazy panel from ``orders``, ``lineitem`` and ``part`` under ``sf_dir``."""
     part = read_table(spark, sf_dir, "part")
@@ -132,12 +148,7 @@ def star_panel(spark: SparkSession, sf_dir: str, grain: str = "part", min_orders
     orders = sequence_orders(raw_orders)
     if min_orders:
         orders = min_history(orders, min_orders)
-    li = read_table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), "l_partkey", F.col("l_linenumber").alias("line"))
-    if grain == "part":
-        li = li.withColumnRenamed("l_partkey", "product_id")
-    else:
-        li = li.join(part_map, "l_partkey").drop("l_partkey")
+    li = star_lines(spark, sf_dir, None if grain == "part" else part_map)
     lines = flag_reorders(basket_lines(li, dedup=True), orders, "inner")
     raw = flag_reorders(basket_lines(li, dedup=False), orders, "left")
     return Panel(orders=orders, order_products=lines, products=products, departments=departments,
