@@ -47,22 +47,70 @@ def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
             .drop("_before"))
 
 
+def _key_struct(cols: list[Column]) -> Column:
+    return F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(cols)])
+
+
+def _boundaries(df: DataFrame, order: list[Column], n_ranges: int, per_range: int = 64) -> list[tuple]:
+    """Up to ``n_ranges − 1`` ascending split points of the sort key.
+
+    Rows are sampled by a hash of the key (not by position), so the sample — and the
+    split points — are the same for any partitioning, row order or task retry.  The
+    sample holds about ``n_ranges · per_range`` rows whatever the table size.
+    """
+    n = df.count()
+    if n == 0 or n_ranges <= 1:
+        return []
+    frac = min(1.0, n_ranges * per_range / n)
+    h = F.abs(F.xxhash64(*order) % F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+    keys = df.where(h < F.lit(frac)).select(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
+    sample = sorted(tuple(r) for r in keys.collect())
+    if not sample:
+        return []
+    m, cuts = len(sample), []
+    for j in range(1, n_ranges):
+        b = sample[min(m - 1, (j * m) // n_ranges)]
+        if not cuts or b > cuts[-1]:
+            cuts.append(b)
+    return cuts
+
+
+def _bucket_of(key: Column, cuts: list[tuple], types) -> Column:
+    """Number of split points ≤ key, as a balanced tree of struct comparisons."""
+    def lit_key(b):
+        return F.struct(*[F.lit(v).cast(t).alias(f"_k{i}") for i, (v, t) in enumerate(zip(b, types))])
+
+    def node(lo: int, hi: int) -> Column:  # key lies in [cuts[lo-1], cuts[hi]) → bucket lo..hi
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key < lit_key(cuts[mid - 1]), node(lo, mid - 1)).otherwise(node(mid, hi))
+    return node(0, len(cuts))
+
+
 def ordered_prefix(df: DataFrame, order: list, sums: dict[str, Column],
                    n_ranges: int | None = None, totals: bool = False) -> DataFrame:
     """Running sums over a total order of all rows, exact, with no single-task window.
 
-    ``order`` must be unique per row.  For each name → column in ``sums`` adds
-    ``name`` = sum of the column over all rows up to and including this one, and with
-    ``totals=True`` also ``name + "_total"`` = the grand total.
+    ``order`` (ascending expressions; negate a numeric key to descend) must be unique
+    and non-NULL per row.  For each name → column in ``sums`` adds ``name`` = sum of
+    the column over all rows up to and including this one, and with ``totals=True``
+    also ``name + "_total"`` = the grand total.
 
-    The rows are range-partitioned on ``order`` (Spark samples the key, so partitions
-    are balanced even when the first order column is heavily tied), summed per range,
-    and the ≤ n_ranges range totals become offsets that are broadcast back.
+    Each row's range is a pure function of its key (split points from a hash sample,
+    compared as structs), so a hot value is split across ranges by the tie-breaking
+    columns, and the result is the same after any retry or re-plan.  Per-range sums
+    (≤ n_ranges rows) become offsets that are broadcast back.  Callers materialize an
+    expensive input first: it is read by the sample, the range totals and the rows.
     """
-    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    types = [f.dataType for f in df.select(*order).schema.fields]
+    cuts = _boundaries(df, order, n)
     vals = {name: f"_v_{i}" for i, name in enumerate(sums)}
     base = df.select("*", *[col.alias(vals[name]) for name, col in sums.items()])
-    ranged = base.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    ranged = base.withColumn("_range", _bucket_of(_key_struct(order), cuts, types))
     range_tot = ranged.groupBy("_range").agg(*[F.sum(v).alias(v) for v in vals.values()])
     # at most n rows: a single ordered window over them is bounded by n_ranges
     w_prev = Window.orderBy("_range").rowsBetween(_UNB, -1)

@@ -241,3 +241,265 @@ def q_product_loyalty(spark, sf):
 def q_order_trends(spark, sf):
     _, oc = _clean(spark, sf)
     return extracts.order_trends(oc)
+
+
+# --- features -----------------------------------------------------------------------------
+from basketry.functions import fixed  # noqa: E402
+from basketry.operators import dashboard, evaluation, features, learning  # noqa: E402
+from basketry.session import materialize  # noqa: E402
+
+DET_SCORE = "up_purchase_rate"  # a deterministic score in [0, 1] present in the features
+QUERY_GBT_ROUNDS = 20  # registered model queries fit 20 rounds; the library default is 300
+
+
+def _features(spark, sf, grain="part"):
+    p = star_panel(spark, sf, grain=grain)
+    oc = clean.orders_clean(p.orders, p.order_products, p.product_prices)
+    return p, oc, features.reorder_features(p.orders, p.order_products, oc)
+
+
+def _det_predictions(spark, sf):
+    p, oc, f = _features(spark, sf)
+    f = materialize(f)
+    return p, oc, f, f.select(*learning.PREDICTION_COLUMNS[:5], F.col(DET_SCORE).alias("reorder_proba"),
+                              "reordered_target")
+
+
+@query("user_features")
+def q_user_features(spark, sf):
+    p = _panel(spark, sf)
+    oc = clean.orders_clean(p.orders, p.order_products, p.product_prices)
+    return features.user_features(oc, features.prior_lines(p.order_products, p.orders))
+
+
+@query("product_features")
+def q_product_features(spark, sf):
+    p = _panel(spark, sf)
+    return features.product_features(features.prior_lines(p.order_products, p.orders))
+
+
+@query("user_product_features")
+def q_user_product_features(spark, sf):
+    p = _panel(spark, sf)
+    return features.user_product_features(features.prior_lines(p.order_products, p.orders))
+
+
+@query("reorder_features")
+def q_reorder_features(spark, sf):
+    return _features(spark, sf)[2]
+
+
+@query("base_rate")
+def q_base_rate(spark, sf):
+    return features.base_rate(_features(spark, sf)[2])
+
+
+# --- split, scaling, weights ---------------------------------------------------------------
+
+def _split(spark, sf, grain="part"):
+    f = materialize(_features(spark, sf, grain)[2])
+    return materialize(learning.stratified_split(f))
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return _split(spark, sf).select("user_id", "product_id", "reordered_target", "split")
+
+
+@query("feature_scaling_stats")
+def q_feature_scaling_stats(spark, sf):
+    st = learning.scaling_stats(_split(spark, sf).where(F.col("split") == "train"))
+    return st.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    return learning.class_weights(_split(spark, sf).where(F.col("split") == "train"))
+
+
+# --- metrics on the deterministic score ---------------------------------------------------
+
+def _scored(spark, sf):
+    return _det_predictions(spark, sf)[3]
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return evaluation.roc_auc(_scored(spark, sf), "reordered_target", "reorder_proba")
+
+
+@query("average_precision")
+def q_average_precision(spark, sf):
+    ap = evaluation.average_precision(_scored(spark, sf), "reordered_target", "reorder_proba")
+    return ap.select(F.round("average_precision", 10).alias("average_precision"))
+
+
+@query("f1_at_threshold")
+def q_f1_at_threshold(spark, sf):
+    return evaluation.f1_at_threshold(_scored(spark, sf), "reordered_target", "reorder_proba", 0.5)
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    return evaluation.classification_report(_scored(spark, sf), "reordered_target", "reorder_proba", 0.5)
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    return evaluation.confusion_matrix(_scored(spark, sf), "reordered_target", "reorder_proba", 0.5)
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf):
+    return evaluation.roc_curve(_scored(spark, sf), "reordered_target", "reorder_proba")
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf):
+    return evaluation.pr_curve(_scored(spark, sf), "reordered_target", "reorder_proba")
+
+
+@query("department_opportunity")
+def q_department_opportunity(spark, sf):
+    p, _, _, pred = _det_predictions(spark, sf)
+    return extracts.department_opportunity(pred, p.products, p.departments)
+
+
+@query("top_propensity")
+def q_top_propensity(spark, sf):
+    p, _, _, pred = _det_predictions(spark, sf)
+    return dashboard.top_propensity(extracts.department_opportunity(pred, p.products, p.departments))
+
+
+@query("campaign_targets")
+def q_campaign_targets(spark, sf):
+    p, oc, _, pred = _det_predictions(spark, sf)
+    return dashboard.campaign_targets(rfm.rfm_segments(oc), pred, p.products, p.departments)
+
+
+# --- models (family grain: enough positives to learn from) -------------------------------
+
+def _models(spark, sf):
+    split = _split(spark, sf, grain="family")
+    metrics, lr, gbt, stats = learning.model_comparison(split, gbt_rounds=QUERY_GBT_ROUNDS)
+    return split, metrics, lr, gbt, stats
+
+
+@query("lr_scores")
+def q_lr_scores(spark, sf):
+    split, _, lr, _, stats = _models(spark, sf)
+    test = split.where(F.col("split") == "test")
+    return learning.predict_proba(lr, learning.standardize(test, stats)).select(
+        "user_id", "product_id", "reordered_target", "reorder_proba")
+
+
+@query("gbt_scores")
+def q_gbt_scores(spark, sf):
+    split, _, _, gbt, _ = _models(spark, sf)
+    return learning.predict_proba(gbt, split.where(F.col("split") == "test")).select(
+        "user_id", "product_id", "reordered_target", "reorder_proba")
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    return _models(spark, sf)[1]
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    split, _, _, gbt, _ = _models(spark, sf)
+    return learning.permutation_importance(gbt, split.where(F.col("split") == "test"))
+
+
+@query("reorder_predictions")
+def q_reorder_predictions(spark, sf):
+    split, _, _, gbt, _ = _models(spark, sf)
+    return learning.reorder_predictions(gbt, split.drop("split"))
+
+
+@query("scorecard")
+def q_scorecard(spark, sf):
+    split, metrics, _, _, _ = _models(spark, sf)
+    return dashboard.scorecard(metrics, features.base_rate(split))
+
+
+# --- dashboard -----------------------------------------------------------------------------
+
+def _summary(spark, sf):
+    return materialize(extracts.segment_summary(_rfm(spark, sf)[2]))
+
+
+@query("dashboard_kpis")
+def q_dashboard_kpis(spark, sf):
+    return dashboard.dashboard_kpis(_summary(spark, sf))
+
+
+@query("segments_by_health")
+def q_segments_by_health(spark, sf):
+    return dashboard.segments_by_health(_summary(spark, sf))
+
+
+@query("segment_health")
+def q_segment_health(spark, sf):
+    return dashboard.segment_health(_summary(spark, sf))
+
+
+@query("health_rollup")
+def q_health_rollup(spark, sf):
+    return dashboard.health_rollup(_summary(spark, sf))
+
+
+@query("revenue_concentration")
+def q_revenue_concentration(spark, sf):
+    return dashboard.revenue_concentration(_summary(spark, sf))
+
+
+@query("next_best_action")
+def q_next_best_action(spark, sf):
+    return dashboard.next_best_action(_summary(spark, sf))
+
+
+@query("formatted_extract")
+def q_formatted_extract(spark, sf):
+    return dashboard.formatted_extract(_summary(spark, sf))
+
+
+def _dept_loyalty(spark, sf, grain="part"):
+    p = _panel(spark, sf, grain=grain)
+    return p, extracts.department_loyalty(p.order_products, p.orders, p.products, p.departments)
+
+
+@query("loyalty_band")
+def q_loyalty_band(spark, sf):
+    return dashboard.department_bands(_dept_loyalty(spark, sf)[1])
+
+
+@query("loyalty_reach")
+def q_loyalty_reach(spark, sf):
+    return dashboard.loyalty_reach(_dept_loyalty(spark, sf)[1])
+
+
+@query("stickiest_products")
+def q_stickiest_products(spark, sf):
+    p = _panel(spark, sf, grain="family")
+    pl = extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
+    return dashboard.stickiest_products(pl)
+
+
+@query("products_in_department")
+def q_products_in_department(spark, sf):
+    p, dl = _dept_loyalty(spark, sf)
+    # the department a user clicks first: the top bar of the loyalty chart
+    top = dl.orderBy(F.col("reorder_rate").desc(), "department").limit(1).select("department").scalar()
+    pl = extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
+    return dashboard.products_in_department(pl, top)
+
+
+@query("dashboard_payload")
+def q_dashboard_payload(spark, sf):
+    p, dl = _dept_loyalty(spark, sf)
+    pl = extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
+    _, _, _, pred = _det_predictions(spark, sf)
+    opp = extracts.department_opportunity(pred, p.products, p.departments)
+    _, metrics, _, _, _ = _models(spark, sf)
+    return dashboard.dashboard_payload(_summary(spark, sf), dl, opp, pl, metrics)
