@@ -173,13 +173,13 @@ def dashboard_payload(segment_summary: DataFrame, dept_loyalty: DataFrame, dept_
     prods = prods.agg(F.sort_array(F.collect_list(F.struct(
         (-F.col("reorder_rate")).alias("_k1"), (-F.col("times_purchased")).alias("_k2"), F.col("product_id").alias("_k3"),
         "product_name", "department", "reorder_rate", "times_purchased"))).alias("l"))
-    strip = lambda c, keys: F.transform(c, lambda s: s.dropFields(*keys))
+    strip = lambda df, keys: df.select(F.transform("l", lambda x: x.dropFields(*keys))).scalar()
     doc = kpis.select(
         F.struct(*kpis.columns).alias("kpis"),
-        strip(segs.select("l").scalar(), ["health_rank"]).alias("segments"),
+        strip(segs, ["health_rank"]).alias("segments"),
         depts.select("l").scalar().alias("departments"),
-        strip(opp.select("l").scalar(), ["_k"]).alias("opportunity"),
-        strip(prods.select("l").scalar(), ["_k1", "_k2", "_k3"]).alias("products"))
+        strip(opp, ["_k"]).alias("opportunity"),
+        strip(prods, ["_k1", "_k2", "_k3"]).alias("products"))
     return doc.select(F.to_json(F.struct("kpis", "segments", "departments", "opportunity", "products")).alias("payload"))
 
 

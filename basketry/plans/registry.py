@@ -379,15 +379,23 @@ def q_campaign_targets(spark, sf):
 
 # --- models (family grain: enough positives to learn from) -------------------------------
 
-def _models(spark, sf):
-    split = _split(spark, sf, grain="family")
-    metrics, lr, gbt, stats = learning.model_comparison(split, gbt_rounds=QUERY_GBT_ROUNDS)
-    return split, metrics, lr, gbt, stats
+def _model_split(spark, sf):
+    return _split(spark, sf, grain="family")
+
+
+def _fit_gbt(split):
+    return learning.fit_gbt(split.where(F.col("split") == "train"), rounds=QUERY_GBT_ROUNDS)
+
+
+def _gbt_metrics(split, gbt):
+    return learning.metric_row("GradientBoosting", learning.predict_proba(gbt, split.where(F.col("split") == "test")))
 
 
 @query("lr_scores")
 def q_lr_scores(spark, sf):
-    split, _, lr, _, stats = _models(spark, sf)
+    split = _model_split(spark, sf)
+    stats = learning.scaling_stats(split.where(F.col("split") == "train"))
+    lr = learning.fit_logistic(learning.standardize(split.where(F.col("split") == "train"), stats))
     test = split.where(F.col("split") == "test")
     return learning.predict_proba(lr, learning.standardize(test, stats)).select(
         "user_id", "product_id", "reordered_target", "reorder_proba")
@@ -395,32 +403,32 @@ def q_lr_scores(spark, sf):
 
 @query("gbt_scores")
 def q_gbt_scores(spark, sf):
-    split, _, _, gbt, _ = _models(spark, sf)
-    return learning.predict_proba(gbt, split.where(F.col("split") == "test")).select(
+    split = _model_split(spark, sf)
+    return learning.predict_proba(_fit_gbt(split), split.where(F.col("split") == "test")).select(
         "user_id", "product_id", "reordered_target", "reorder_proba")
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    return _models(spark, sf)[1]
+    return learning.model_comparison(_model_split(spark, sf), gbt_rounds=QUERY_GBT_ROUNDS)[0]
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
-    split, _, _, gbt, _ = _models(spark, sf)
-    return learning.permutation_importance(gbt, split.where(F.col("split") == "test"))
+    split = _model_split(spark, sf)
+    return learning.permutation_importance(_fit_gbt(split), split.where(F.col("split") == "test"))
 
 
 @query("reorder_predictions")
 def q_reorder_predictions(spark, sf):
-    split, _, _, gbt, _ = _models(spark, sf)
-    return learning.reorder_predictions(gbt, split.drop("split"))
+    split = _model_split(spark, sf)
+    return learning.reorder_predictions(_fit_gbt(split), split.drop("split"))
 
 
 @query("scorecard")
 def q_scorecard(spark, sf):
-    split, metrics, _, _, _ = _models(spark, sf)
-    return dashboard.scorecard(metrics, features.base_rate(split))
+    split = _model_split(spark, sf)
+    return dashboard.scorecard(_gbt_metrics(split, _fit_gbt(split)), features.base_rate(split))
 
 
 # --- dashboard -----------------------------------------------------------------------------
@@ -501,5 +509,62 @@ def q_dashboard_payload(spark, sf):
     pl = extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
     _, _, _, pred = _det_predictions(spark, sf)
     opp = extracts.department_opportunity(pred, p.products, p.departments)
-    _, metrics, _, _, _ = _models(spark, sf)
+    split = _model_split(spark, sf)
+    metrics = _gbt_metrics(split, _fit_gbt(split))
     return dashboard.dashboard_payload(_summary(spark, sf), dl, opp, pl, metrics)
+
+
+# --- the events panel: a second source with real day gaps and hours ------------------
+from basketry.sources.events import events_panel  # noqa: E402
+
+
+def _ev_clean(spark, sf):
+    p = events_panel(spark, sf)
+    return p, clean.orders_clean(p.orders, p.order_products, p.product_prices)
+
+
+@query("events_order_calendar")
+def q_events_order_calendar(spark, sf):
+    return events_panel(spark, sf).orders
+
+
+@query("events_orders_clean")
+def q_events_orders_clean(spark, sf):
+    return _as_double(_ev_clean(spark, sf)[1], "order_value")
+
+
+@query("events_order_trends")
+def q_events_order_trends(spark, sf):
+    return extracts.order_trends(_ev_clean(spark, sf)[1])
+
+
+@query("events_rfm_segments")
+def q_events_rfm_segments(spark, sf):
+    return _as_double(rfm.rfm_segments(_ev_clean(spark, sf)[1]), "monetary", "avg_order_value")
+
+
+@query("events_segment_summary")
+def q_events_segment_summary(spark, sf):
+    return extracts.segment_summary(rfm.rfm_segments(_ev_clean(spark, sf)[1]))
+
+
+def _ev_features(spark, sf):
+    p, oc = _ev_clean(spark, sf)
+    return features.reorder_features(p.orders, p.order_products, oc)
+
+
+@query("events_reorder_features")
+def q_events_reorder_features(spark, sf):
+    return _ev_features(spark, sf)
+
+
+@query("events_roc_auc")
+def q_events_roc_auc(spark, sf):
+    f = materialize(_ev_features(spark, sf))
+    return evaluation.roc_auc(f, "reordered_target", DET_SCORE)
+
+
+@query("dq_report_json")
+def q_dq_report_json(spark, sf):
+    t = _raw_tables(_panel(spark, sf))
+    return quality.quality_report_json(t["orders"], t["order_products"], t["products"], t["product_prices"])
