@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions import fixed
 from basketry.functions.ordering import exact_rank
 from basketry.operators import evaluation
+from basketry.session import materialize
 from basketry.sources.prices import unit_hash
 
 LABEL = "reordered_target"
@@ -94,7 +95,7 @@ def fit_logistic(train_std: DataFrame, max_iter: int = 1000):
     data = with_weights(assemble(train_std))
     n = train_std.count()
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=max_iter,
-                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, tol=1e-8)
+                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
     return lr.fit(data)
 
 
@@ -167,9 +168,10 @@ def model_comparison(features_split: DataFrame, gbt_rounds: int = fixed.GBT_ROUN
     test = features_split.where(F.col("split") == "test")
     stats = scaling_stats(train)
     lr = fit_logistic(standardize(train, stats))
-    lr_test = predict_proba(lr, standardize(test, stats))
+    # each scored test set feeds three metric jobs (and their ranking passes): score once
+    lr_test = materialize(predict_proba(lr, standardize(test, stats)).select(LABEL, "reorder_proba"))
     gbt = fit_gbt(train, rounds=gbt_rounds)
-    gbt_test = predict_proba(gbt, test)
+    gbt_test = materialize(predict_proba(gbt, test).select(LABEL, "reorder_proba"))
     metrics = reduce(DataFrame.unionByName, [metric_row("LogisticRegression", lr_test),
                                              metric_row("GradientBoosting", gbt_test)])
     return metrics, lr, gbt, stats

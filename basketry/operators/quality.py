@@ -30,14 +30,17 @@ def quality_checks(orders: DataFrame, order_products: DataFrame, products: DataF
     """Q2–Q9 as one row; every value is a scalar subquery over the tables (no driver
     round trip, no key lists held in memory: anti joins instead of IN-lists)."""
     spark: SparkSession = orders.sparkSession
-    dup_orders = _one(orders, (F.count(F.lit(1)) - F.countDistinct("order_id")
-                               - F.max(F.col("order_id").isNull().cast("int"))).cast("bigint"))
+    gap = F.col("days_since_prior_order")
+    # the three order-level checks share one aggregation pass over orders
+    per_order = orders.agg(F.struct(
+        (F.count(F.lit(1)) - F.countDistinct("order_id")
+         - F.max(F.col("order_id").isNull().cast("int"))).cast("bigint").alias("dup"),
+        (F.count_if(gap.isNull()) == F.count_if(F.col("order_number") == 1)).alias("match"),
+        F.count_if((gap < fixed.GAP_MIN) | (gap > fixed.GAP_MAX)).alias("out"))).scalar()
+    dup_orders, nulls_match, out_of_range = per_order["dup"], per_order["match"], per_order["out"]
     # distinct (order_id, product_id) tuples, NULLs counted as values: a grouped count
     groups = order_products.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("_n"))
     dup_lines = _one(groups, (F.sum("_n") - F.count(F.lit(1))).cast("bigint"))
-    gap = F.col("days_since_prior_order")
-    nulls_match = _one(orders, F.count_if(gap.isNull()) == F.count_if(F.col("order_number") == 1))
-    out_of_range = _one(orders, F.count_if((gap < fixed.GAP_MIN) | (gap > fixed.GAP_MAX)))
     orphan_products = _one(order_products.where(F.col("product_id").isNotNull())
                            .join(products.select("product_id"), "product_id", "left_anti"), F.count(F.lit(1)))
     orphan_orders = _one(order_products.where(F.col("order_id").isNotNull())

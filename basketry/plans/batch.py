@@ -37,6 +37,14 @@ def write_all(spark: SparkSession, panel: Panel, out_dir: str, gbt_rounds: int =
     extracts under ``out_dir``; return the row counts of the written tables."""
     p = lambda *parts: os.path.join(out_dir, *parts)
     counts: dict[str, int] = {}
+    # load: the derived base tables are written once and every later step reads them
+    for name in ("orders", "order_products", "order_products_raw"):
+        counts[name] = files.write_table(getattr(panel, name), p("tables", name))
+    panel = Panel(orders=spark.read.parquet(p("tables", "orders")),
+                  order_products=spark.read.parquet(p("tables", "order_products")),
+                  products=panel.products, departments=panel.departments, aisles=panel.aisles,
+                  product_prices=panel.product_prices,
+                  order_products_raw=spark.read.parquet(p("tables", "order_products_raw")))
     tables = {"departments": panel.departments, "aisles": panel.aisles, "products": panel.products,
               "product_prices": panel.product_prices, "orders": panel.orders,
               "order_products": panel.order_products_raw}
@@ -54,7 +62,7 @@ def write_all(spark: SparkSession, panel: Panel, out_dir: str, gbt_rounds: int =
     seg = spark.read.parquet(p("tables", "rfm_segments"))
     files.write_csv(spark.read.parquet(p("tables", "rfm_segments")).withColumn(
         "rfm_cell", F.concat(F.col("R").cast("string"), F.col("F").cast("string"))),
-        p("tableau", "rfm_segments"), single_file=False)
+        p("extracts", "rfm_segments"), single_file=False)
 
     feats = features.reorder_features(panel.orders, panel.order_products, oc)
     counts["reorder_features"] = files.write_table(feats, p("tables", "reorder_features"))
@@ -65,19 +73,19 @@ def write_all(spark: SparkSession, panel: Panel, out_dir: str, gbt_rounds: int =
     preds = learning.reorder_predictions(gbt, feats)
     counts["reorder_predictions"] = files.write_table(preds, p("tables", "reorder_predictions"))
     preds = spark.read.parquet(p("tables", "reorder_predictions"))
-    files.write_csv(preds, p("tableau", "reorder_predictions"), single_file=False)
+    files.write_csv(preds, p("extracts", "reorder_predictions"), single_file=False)
 
     summary = extracts.segment_summary(seg)
-    files.write_csv(summary, p("tableau", "segment_summary"), order_by=[F.col("total_monetary").desc()])
+    files.write_csv(summary, p("extracts", "segment_summary"), order_by=[F.col("total_monetary").desc()])
     dl = extracts.department_loyalty(panel.order_products, panel.orders, panel.products, panel.departments)
-    files.write_csv(extracts.department_loyalty_extract(dl), p("tableau", "department_loyalty"),
+    files.write_csv(extracts.department_loyalty_extract(dl), p("extracts", "department_loyalty"),
                     order_by=[F.col("reorder_rate").desc(), "department"])
     pl = extracts.product_loyalty(panel.order_products, panel.orders, panel.products, panel.departments)
-    files.write_csv(pl, p("tableau", "product_loyalty"),
+    files.write_csv(pl, p("extracts", "product_loyalty"),
                     order_by=[F.col("reorder_rate").desc(), F.col("times_purchased").desc(), "product_id"])
-    files.write_csv(extracts.order_trends(oc), p("tableau", "order_trends"),
+    files.write_csv(extracts.order_trends(oc), p("extracts", "order_trends"),
                     order_by=["order_dow", "order_hour_of_day"])
     opp = extracts.department_opportunity(preds, panel.products, panel.departments)
-    files.write_csv(opp, p("tableau", "department_opportunity"), order_by=[F.col("avg_reorder_proba").desc()])
+    files.write_csv(opp, p("extracts", "department_opportunity"), order_by=[F.col("avg_reorder_proba").desc()])
     files.write_json_document(dashboard.dashboard_payload(summary, dl, opp, pl, metrics), p("dashboard_payload"))
     return counts

@@ -12,7 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import clean, extracts, rfm
+from basketry.functions import fixed  # noqa: F401
+from basketry.operators import clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
+from basketry.session import materialize
+from basketry.sources import files, prices as price_src, star
+from basketry.sources.events import events_panel
 from basketry.sources.star import star_panel
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -59,8 +63,6 @@ def q_segment_summary(spark, sf):
 
 
 # --- sources, panel preparation -------------------------------------------------------
-from basketry.operators import quality, views  # noqa: E402
-from basketry.sources import files, prices as price_src, star  # noqa: E402
 
 
 def _panel(spark, sf, **kw):
@@ -68,8 +70,10 @@ def _panel(spark, sf, **kw):
 
 
 def _raw_tables(p):
-    return {"orders": p.orders, "order_products": p.order_products_raw, "products": p.products,
-            "product_prices": p.product_prices}
+    """The loaded base tables: the derived orders and raw lines are written once, since
+    every check of the report scans them again."""
+    return {"orders": materialize(p.orders), "order_products": materialize(p.order_products_raw),
+            "products": p.products, "product_prices": p.product_prices}
 
 
 @query("ensure_prices")
@@ -95,9 +99,7 @@ def q_union_prior_train(spark, sf):
 @query("constraint_violations")
 def q_constraint_violations(spark, sf):
     p = _panel(spark, sf)
-    return quality.constraint_violations({
-        "departments": p.departments, "aisles": p.aisles, "products": p.products,
-        "product_prices": p.product_prices, "orders": p.orders, "order_products": p.order_products_raw})
+    return quality.constraint_violations(dict(_raw_tables(p), departments=p.departments, aisles=p.aisles))
 
 
 @query("table_counts")
@@ -244,9 +246,6 @@ def q_order_trends(spark, sf):
 
 
 # --- features -----------------------------------------------------------------------------
-from basketry.functions import fixed  # noqa: E402
-from basketry.operators import dashboard, evaluation, features, learning  # noqa: E402
-from basketry.session import materialize  # noqa: E402
 
 DET_SCORE = "up_purchase_rate"  # a deterministic score in [0, 1] present in the features
 QUERY_GBT_ROUNDS = 20  # registered model queries fit 20 rounds; the library default is 300
@@ -388,7 +387,9 @@ def _fit_gbt(split):
 
 
 def _gbt_metrics(split, gbt):
-    return learning.metric_row("GradientBoosting", learning.predict_proba(gbt, split.where(F.col("split") == "test")))
+    scored = materialize(learning.predict_proba(gbt, split.where(F.col("split") == "test"))
+                         .select("reordered_target", "reorder_proba"))
+    return learning.metric_row("GradientBoosting", scored)
 
 
 @query("lr_scores")
@@ -515,7 +516,6 @@ def q_dashboard_payload(spark, sf):
 
 
 # --- the events panel: a second source with real day gaps and hours ------------------
-from basketry.sources.events import events_panel  # noqa: E402
 
 
 def _ev_clean(spark, sf):

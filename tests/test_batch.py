@@ -13,8 +13,8 @@ def test_write_all(spark, tmp_path):
     assert counts["orders_clean"] > 0 and counts["reorder_features"] == counts["reorder_predictions"]
     for extract in ("segment_summary", "department_loyalty", "product_loyalty", "order_trends",
                     "department_opportunity", "rfm_segments", "reorder_predictions"):
-        assert os.path.isdir(os.path.join(out, "tableau", extract)), extract
-    seg = spark.read.option("header", True).csv(os.path.join(out, "tableau", "segment_summary"))
+        assert os.path.isdir(os.path.join(out, "extracts", extract)), extract
+    seg = spark.read.option("header", True).csv(os.path.join(out, "extracts", "segment_summary"))
     assert sum(int(r.customers) for r in seg.collect()) == spark.read.parquet(os.path.join(out, "tables", "rfm_segments")).count()
     metrics = spark.read.option("header", True).csv(os.path.join(out, "model_metrics")).collect()
     assert sorted(r.model for r in metrics) == ["GradientBoosting", "LogisticRegression"]
