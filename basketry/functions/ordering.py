@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 
 _UNB = Window.unboundedPreceding
 
+# A range window holds about this many rows at most (more ranges for bigger inputs), up
+# to MAX_RANGES ranges; the bucket of a row is found in log2(ranges) struct comparisons.
+ROWS_PER_RANGE = 4_000_000
+MAX_RANGES = 4096
+
 
 def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
                       out: str = "seq", prev_bucket: str | None = None,
@@ -52,13 +57,15 @@ def _key_struct(cols: list[Column]) -> Column:
 
 
 def _boundaries(df: DataFrame, order: list[Column], n_ranges: int, per_range: int = 64) -> list[tuple]:
-    """Up to ``n_ranges − 1`` ascending split points of the sort key.
+    """Ascending split points of the sort key: at least ``n_ranges`` ranges, more when
+    the input would put over ROWS_PER_RANGE rows in one range (at most MAX_RANGES).
 
     Rows are sampled by a hash of the key (not by position), so the sample — and the
     split points — are the same for any partitioning, row order or task retry.  The
-    sample holds about ``n_ranges · per_range`` rows whatever the table size.
+    sample holds about ``ranges · per_range`` rows whatever the table size.
     """
     n = df.count()
+    n_ranges = min(MAX_RANGES, max(n_ranges, -(-n // ROWS_PER_RANGE)))
     if n == 0 or n_ranges <= 1:
         return []
     frac = min(1.0, n_ranges * per_range / n)
