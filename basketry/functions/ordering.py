@@ -36,7 +36,17 @@ def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
     table.  Optionally returns the previous bucket value of the key (``prev_bucket``)
     and the key's row count (``group_size``).
     """
-    chunks = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_chunk_n"))
+    # rows with a NULL key or bucket have no group (the join below would drop them);
+    # filtering them here keeps both uses of the windowed rows identical, so the
+    # shuffle under the window is reused
+    present = F.col(bucket).isNotNull()
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    wr = Window.partitionBy(*keys, bucket).orderBy(*order)
+    ranked = df.where(present).withColumn("_rn_in_chunk", F.row_number().over(wr))
+    # a chunk's size is its last row number: aggregating the windowed rows, which are
+    # already partitioned by (keys, bucket), needs no second shuffle of the rows
+    chunks = ranked.groupBy(*keys, bucket).agg(F.max("_rn_in_chunk").cast("bigint").alias("_chunk_n"))
     wk = Window.partitionBy(*keys).orderBy(bucket)
     cols = [*keys, bucket,
             F.coalesce(F.sum("_chunk_n").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_before")]
@@ -45,8 +55,6 @@ def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
     if group_size:
         cols.append(F.sum("_chunk_n").over(Window.partitionBy(*keys)).cast("int").alias(group_size))
     chunks = chunks.select(*cols)
-    wr = Window.partitionBy(*keys, bucket).orderBy(*order)
-    ranked = df.withColumn("_rn_in_chunk", F.row_number().over(wr))
     return (ranked.join(chunks, [*keys, bucket])
             .withColumn(out, (F.col("_before") + F.col("_rn_in_chunk")).cast("int"))
             .drop("_before"))
