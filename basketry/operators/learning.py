@@ -14,7 +14,6 @@ from basketry.functions import fixed
 from basketry.functions.ordering import exact_rank
 from basketry.operators import evaluation
 from basketry.session import materialize
-from basketry.sources.prices import unit_hash
 
 LABEL = "reordered_target"
 KEYS = ["user_id", "product_id"]
@@ -187,4 +186,4 @@ def reorder_predictions(gbt_model, features: DataFrame) -> DataFrame:
 
 
 __all__ = ["stratified_split", "scaling_stats", "standardize", "class_weights", "fit_logistic", "fit_gbt",
-           "predict_proba", "permutation_importance", "model_comparison", "reorder_predictions", "unit_hash"]
+           "predict_proba", "permutation_importance", "model_comparison", "reorder_predictions"]

@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.functions import fixed  # noqa: F401
 from basketry.operators import clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
 from basketry.session import materialize
 from basketry.sources import files, prices as price_src, star

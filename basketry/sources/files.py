@@ -1,4 +1,4 @@
-"""Reference-layout CSV sources and the engine's sinks.
+"""Market-basket CSV sources and the engine's sinks.
 
 Sources read headered CSV with fixed schemas (never inferred).  Sinks write Parquet
 tables (overwrite = drop + recreate) and headered CSV extracts.
@@ -55,7 +55,7 @@ def union_prior_train(prior: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def read_panel(spark: SparkSession, raw_dir: str) -> Panel:
-    """Load the reference-layout directory: departments, aisles, products, optional
+    """Load a market-basket directory: departments, aisles, products, optional
     product_prices, orders, order_products__prior / __train."""
     j = lambda name: os.path.join(raw_dir, name)
     departments = read_csv(spark, j("departments.csv"), DEPARTMENTS)

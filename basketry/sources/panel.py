@@ -12,7 +12,7 @@ A :class:`Panel` is a bag of lazy DataFrames in the market-basket layout
 
 ``order_products_raw`` is the line table as loaded (before basket de-duplication); the
 quality report and the key checks run on it, everything else on ``order_products``.
-Panels come from the reference-shaped CSV files (:mod:`basketry.sources.files`) or are
+Panels come from the market-basket CSV files (:mod:`basketry.sources.files`) or are
 derived from the star-schema Parquet tables (:mod:`basketry.sources.star`).
 """
 

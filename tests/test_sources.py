@@ -1,4 +1,4 @@
-"""CSV sources in the reference layout, the price fallback, and the sinks."""
+"""CSV sources in the market-basket layout, the price fallback, and the sinks."""
 
 import os
 from decimal import Decimal
@@ -66,3 +66,10 @@ def test_sinks_round_trip(spark, tmp_path):
     js = str(tmp_path / "report")
     files.write_json_document(oc.select(F.to_json(F.struct("order_id")).alias("j")).limit(1), js)
     assert any(f.startswith("part-") for f in os.listdir(js))
+
+
+def test_panel_views_for_sql(spark, tmp_path):
+    p = files.read_panel(spark, _raw_dir(tmp_path, True, False)).register(prefix="t_")
+    got = spark.sql("SELECT eval_set, count(*) AS n FROM t_order_products GROUP BY eval_set ORDER BY eval_set").collect()
+    assert [(r.eval_set, r.n) for r in got] == [("prior", 2), ("train", 1)]
+    assert spark.table("t_orders").count() == 2
