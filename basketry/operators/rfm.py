@@ -36,8 +36,10 @@ def rfm_raw(orders_clean: DataFrame) -> DataFrame:
     joined = frequency_monetary(orders_clean).join(recency(orders_clean), "user_id", "left")
     # one row per user, read by the median job and by three ranking passes: write once
     joined = materialize(joined)
-    med = exact_median(joined, "recency")
-    return joined.withColumn("recency", F.coalesce(F.col("recency"), med))
+    # one number, fetched once: as a subquery it would re-run in every job of the three
+    # ranking passes that read this table
+    med = joined.select(exact_median(joined, "recency")).first()[0]
+    return joined.withColumn("recency", F.coalesce(F.col("recency"), F.lit(med).cast("double")))
 
 
 def quintile_band(df: DataFrame, value: str, out: str, bands: int = fixed.RFM_BANDS,
