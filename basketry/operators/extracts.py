@@ -33,7 +33,7 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
         half_up(F.col("_score"), F.col("customers"), 2).alias("avg_rfm_score"),
         "recommended_action",
         half_even(F.col("customers") * 100, _whole("customers"), 1).alias("pct_customers"),
-        half_even(F.col("_cents") * 100, _whole("_cents"), 1).alias("pct_revenue"))
+        half_even(F.col("_cents").cast("decimal(38,0)") * 100, _whole("_cents"), 1).alias("pct_revenue"))
 
 
 def prior_lines_by(order_products: DataFrame, orders: DataFrame) -> DataFrame:

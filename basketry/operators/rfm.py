@@ -104,7 +104,7 @@ def _whole(col: str) -> Column:
 def segment_distribution(rfm: DataFrame) -> DataFrame:
     """Share of customers per segment in %, 1 dp (half-even, as a frame rounds)."""
     counts = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.select("segment", half_even(F.col("_n") * 100, _whole("_n"), 1).alias("pct"))
+    return counts.select("segment", half_even(F.col("_n").cast("decimal(38,0)") * 100, _whole("_n"), 1).alias("pct"))
 
 
 def segment_size_value(rfm: DataFrame) -> DataFrame:
