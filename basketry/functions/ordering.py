@@ -60,20 +60,29 @@ def _boundaries(df: DataFrame, order: list[Column], n_ranges: int, per_range: in
     """Ascending split points of the sort key: at least ``n_ranges`` ranges, more when
     the input would put over ROWS_PER_RANGE rows in one range (at most MAX_RANGES).
 
-    Rows are sampled by a hash of the key (not by position), so the sample — and the
-    split points — are the same for any partitioning, row order or task retry.  The
-    sample holds about ``ranges · per_range`` rows whatever the table size.
+    One pass: the ``k`` rows with the smallest key hash (a top-k, at most ``k`` rows
+    per task) are a uniform sample that depends only on the data — not on partitioning,
+    row order or retries — and the k-th smallest hash estimates the row count
+    (n ≈ (k − 1) / h_k), which sizes the number of ranges.  A second, larger sample is
+    drawn only when that estimate asks for more ranges than the first one supports.
     """
-    n = df.count()
-    n_ranges = min(MAX_RANGES, max(n_ranges, -(-n // ROWS_PER_RANGE)))
-    if n == 0 or n_ranges <= 1:
-        return []
-    frac = min(1.0, n_ranges * per_range / n)
-    h = F.abs(F.xxhash64(*order) % F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
-    keys = df.where(h < F.lit(frac)).select(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
-    sample = sorted(tuple(r) for r in keys.collect())
-    if not sample:
+    h = (F.abs(F.xxhash64(*order) % F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))).alias("_h")
+    keys = [c.alias(f"_k{i}") for i, c in enumerate(order)]
+    base = df.select(h, *keys)
+    k = max(n_ranges, 1) * per_range
+    while True:
+        rows = base.orderBy("_h", *[f"_k{i}" for i in range(len(order))]).limit(k).collect()
+        if len(rows) < k:
+            n_est = len(rows)
+        else:
+            n_est = (k - 1) / max(rows[-1]["_h"], 1e-12)
+        wanted = min(MAX_RANGES, max(n_ranges, -(-int(n_est) // ROWS_PER_RANGE)))
+        if wanted <= n_ranges or len(rows) < k:
+            break
+        n_ranges, k = wanted, wanted * per_range
+    if not rows or n_ranges <= 1:
         return []
+    sample = sorted(tuple(r)[1:] for r in rows)
     m, cuts = len(sample), []
     for j in range(1, n_ranges):
         b = sample[min(m - 1, (j * m) // n_ranges)]

@@ -149,3 +149,15 @@ def test_stratified_split_exact_and_stable(spark):
     for c in (0, 1):
         n_c = sum(1 for *_, y in rows if y == c)
         assert counts[(c, "test")] == -(-n_c // 4)
+
+
+def test_exact_rank_with_more_ranges_than_configured(spark, monkeypatch):
+    from basketry.functions import ordering
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 50)  # 3000 rows -> about 60 ranges
+    df = _ties_frame(spark, 3000, distinct=3)
+    got = ordering.exact_rank(df, ["x", "user_id"], out="r", n_ranges=4)
+    ref = df.withColumn("r2", F.row_number().over(Window.orderBy("x", "user_id")))
+    j = got.join(ref, ["user_id", "x"])
+    assert j.where(F.col("r") != F.col("r2")).count() == 0
+    cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], 4)
+    assert 20 <= len(cuts) + 1 <= 200
