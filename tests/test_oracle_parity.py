@@ -27,3 +27,12 @@ def test_every_query_registered_and_runs_schema(spark):
     assert set(ORACLES) <= set(qs)
     df = entry.entry(spark)
     assert "segment" in df.columns and df.count() > 0
+
+
+ROWS_ONLY = sorted(set(entry.queries()) - set(ORACLES))
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_rows_only_query_runs(spark, name):
+    df = entry.queries()[name](spark, SF)
+    assert df.count() > 0 and len(df.columns) > 0
