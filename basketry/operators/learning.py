@@ -90,9 +90,18 @@ def assemble(df: DataFrame, features=fixed.FEATURES, out: str = "features") -> D
 def fit_logistic(train_std: DataFrame, max_iter: int = 1000):
     """M4: balanced logistic regression on standardised features.  With weights
     n/(2·n_c) (Σ weights = n) a regParam of 1/n gives the same optimum as an L2
-    penalty ½‖w‖² with C = 1 on the summed weighted log-loss."""
-    data = with_weights(assemble(train_std))
-    n = train_std.count()
+    penalty ½‖w‖² with C = 1 on the summed weighted log-loss.
+
+    The class counts (one row per label value) are fetched once and the weights
+    applied as a literal expression: no separate count job, no join.
+    """
+    per_class = class_weights(train_std).collect()
+    n = sum(r["n_c"] for r in per_class)
+    weight = None
+    for r in per_class:
+        cond = F.col(LABEL) == F.lit(r[LABEL])
+        weight = F.when(cond, F.lit(r["weight"])) if weight is None else weight.when(cond, F.lit(r["weight"]))
+    data = assemble(train_std).withColumn("weight", weight)
     lr = LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=max_iter,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
     return lr.fit(data)
