@@ -70,6 +70,20 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     return c.agg((F.sum(term) / F.first("tp_total").cast("double")).alias("average_precision"))
 
 
+def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+    """M7 + M8 from one ordered pass: with tp / fp counted at thresholds ≥ s, the
+    negatives strictly below s are N − fp_s, so ROC-AUC's exact numerator is
+    Σ pos_s · (2(N − fp_s) + neg_s) and AP is Σ pos_s · tp_s / (tp_s + fp_s) / P."""
+    c = _desc_cumulative(df, label, score)
+    num2 = F.col("pos").cast(_BIG) * ((F.col("fp_total") - F.col("fp")) * 2 + F.col("neg")).cast(_BIG)
+    term = F.col("pos").cast("double") * F.col("tp").cast("double") / (F.col("tp") + F.col("fp")).cast("double")
+    agg = c.agg(F.sum(num2).alias("_num2"), F.sum(term).alias("_ap"),
+                F.first("tp_total").alias("_P"), F.first("fp_total").alias("_N"))
+    den = F.lit(2).cast(_BIG) * F.col("_P").cast(_BIG) * F.col("_N").cast(_BIG)
+    return agg.select(F.when(den > 0, F.col("_num2").cast("double") / den.cast("double")).alias("roc_auc"),
+                      (F.col("_ap") / F.col("_P").cast("double")).alias("average_precision"))
+
+
 def confusion_counts(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """tp, fp, fn, tn with predicted = score ≥ threshold, as one row."""
     y = F.col(label) == 1

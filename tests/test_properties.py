@@ -161,3 +161,11 @@ def test_exact_rank_with_more_ranges_than_configured(spark, monkeypatch):
     assert j.where(F.col("r") != F.col("r2")).count() == 0
     cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], 4)
     assert 20 <= len(cuts) + 1 <= 200
+
+
+def test_ranking_metrics_one_pass_equals_separate(spark):
+    rows, df = _scores(spark, 400, seed=9)
+    r = evaluation.ranking_metrics(df, "y", "s").first()
+    assert r.roc_auc == evaluation.roc_auc(df, "y", "s").first().roc_auc
+    assert r.average_precision == pytest.approx(_brute_ap(rows), abs=1e-12)
+    assert r.roc_auc == pytest.approx(_brute_auc(rows), abs=1e-12)
