@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language, ngram_join, toxicity
+from basketry.llm import fingerprint, language, ngram_join, toxicity, url_filter
 from basketry.llm.texts import held_out
 
 
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -33,10 +37,51 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+#: The registered rules: verdict, host, beginning of the path.
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_language_id": op3_language_id,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_url_filters": op10_url_filters,
 }
 
-ORACLES: dict[str, str] = {}
+#: The longest rule wins: the rules are tried from the longest to the shortest.
+_OP10_SQL = """
+WITH rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+  SELECT page_id, regexp_extract(r, '^[^/?#]*') AS raw, r FROM rest
+), split AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(r, length(raw) + 1), '^[^?#]*') AS path
+  FROM parts
+), ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/'
+  END AS rule FROM split
+)
+SELECT CAST(page_id AS BIGINT) AS page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLES: dict[str, str] = {"op10_url_filters": _OP10_SQL}
