@@ -3,12 +3,13 @@ whole table; and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import fingerprint, language, ngram_join, toxicity, url_filter
+from basketry.llm import bpe, fingerprint, language, ngram_join, token_file, toxicity, url_filter, warc
 from basketry.llm.texts import held_out
 
 
@@ -33,6 +34,30 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of op4 and op6; ``BYTE_BPE_PATH`` names another one."""
+    if "BYTE_BPE_PATH" in os.environ:
+        return os.environ["BYTE_BPE_PATH"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -56,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
     "op3_language_id": op3_language_id,
+    "op4_token_files": op4_token_files,
+    "op5_warc": op5_warc,
+    "op6_bpe": op6_bpe,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_url_filters": op10_url_filters,
 }
@@ -84,4 +112,15 @@ SELECT CAST(page_id AS BIGINT) AS page_id, coalesce(host, '') AS host, coalesce(
 FROM ruled
 """
 
-ORACLES: dict[str, str] = {"op10_url_filters": _OP10_SQL}
+_OP5_SQL = """
+WITH p AS (
+  SELECT CAST(page_id AS BIGINT) AS page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first_page FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_page < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_page < p.page_id THEN f.first_page END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+ORACLES: dict[str, str] = {"op5_warc": _OP5_SQL, "op10_url_filters": _OP10_SQL}

@@ -33,7 +33,7 @@ def committed(folder: str, name: str) -> Iterator[object]:
     fs, base = file_system(folder)
     temporary = posixpath.join(base, "_temporary", f"{uuid.uuid4().hex}-{name}")
     fs.create_dir(posixpath.dirname(temporary), recursive=True)
-    with fs.open_output_stream(temporary) as out:
+    with fs.open_output_stream(temporary, compression=None) as out:
         yield out
     fs.move(temporary, posixpath.join(base, name))
 
@@ -48,7 +48,7 @@ def write_manifest(folder: str, entries: list[dict]) -> None:
 
 def read_manifest(folder: str) -> list[dict]:
     fs, base = file_system(folder)
-    with fs.open_input_stream(posixpath.join(base, "manifest.json")) as f:
+    with fs.open_input_stream(posixpath.join(base, "manifest.json"), compression=None) as f:
         return json.loads(f.read())["files"]
 
 

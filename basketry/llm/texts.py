@@ -144,3 +144,4 @@ def hash_word(word: str) -> int:
     data = np.frombuffer(word.encode(), np.uint8)
     n = np.array([len(data)], np.int64)
     return int(span_hashes(data, 0, len(data), np.zeros(1, np.int64), n)[0])
+
