@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.texts import column_bytes, held_out, slices
@@ -276,3 +276,16 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     """
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_identify(model), _FOUND)
+
+
+def language_of(text: Column, model: dict) -> Column:
+    """The struct (lang, score) of a text column, for filtering rows in place."""
+    label = _identify(model)
+
+    def run(column: pa.Array) -> pa.Array:
+        column = column.cast(pa.string())
+        whole = pa.RecordBatch.from_arrays([pa.array(np.arange(len(column))), column], ["doc_id", "text"])
+        parts = [pa.StructArray.from_arrays([b.column(1), b.column(2)], ["lang", "score"]) for b in label(iter([whole]))]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("lang", pa.string()), ("score", pa.float64())]))
+
+    return F.arrow_udf(run, "struct<lang:string,score:double>")(text.cast("string"))

@@ -412,8 +412,8 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     ``size``-word n-grams; component_id is the least doc_id reachable by links.
     """
     spark = docs.sparkSession
-    table, _ = write_table(gram_nodes(docs, size, percent), "gram-nodes")
-    rows = table.where("grams is null").select("doc_id", "node", "n")
+    table, whole = write_table(gram_nodes(docs, size, percent), "gram-nodes")
+    rows, _ = write_table(table.where("grams is null").select("doc_id", "node", "n"), "gram-docs")
     links, paths = similar_links(table.where("grams is not null").select("node", "n", "grams"), percent)
     label = components(links)
     sets = rows.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
@@ -424,7 +424,7 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     alone = sets.where("copies > 1").join(joined, "label", "left_anti").select("node", "n", F.col("first").alias("component_id"))
     found = linked.join(least, "label").select("node", "n", "component_id").unionAll(alone)
     found, _ = write_table(found, "gram-components")
-    for p in paths:
+    for p in [whole, *paths]:
         drop_path(spark, p)
     return rows.join(found, ["node", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

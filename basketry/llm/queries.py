@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, fingerprint, language, ngram_join, token_file, toxicity, url_filter, warc
+from basketry.llm import bpe, decontamination, fingerprint, language, ngram_join, quality, token_file, toxicity, url_filter, warc
 from basketry.llm.texts import held_out
 
 
@@ -58,6 +58,18 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    found = quality.classify(docs, F.col("source"), F.col("lang"), model, ["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "host", "path", "evidence",
+                        "host_posterior", "path_posterior", "score", F.col("accepted").cast("int").alias("predicted"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), size=4, percent=85)
 
@@ -84,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
     "op6_bpe": op6_bpe,
+    "op7_quality": op7_quality,
+    "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_url_filters": op10_url_filters,
 }

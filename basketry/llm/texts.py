@@ -83,7 +83,15 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE) -> Iterator[tuple[int, int]]:
+def separators(kept: bytes) -> np.ndarray:
+    """A table that makes every ASCII byte but the kept ones a separator."""
+    table = np.zeros(256, bool)
+    table[:128] = True
+    table[list(kept)] = False
+    return table
+
+
+def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE, separator: np.ndarray = _SEPARATOR) -> Iterator[tuple[int, int]]:
     """Cut the bytes into runs of about ``size`` that end with a row or at a separator."""
     start, end = 0, int(offsets[-1])
     while start < end:
@@ -95,7 +103,7 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE) -> Iterator
             else:  # inside one long row: after the next separator, or the row's end
                 row_end = int(offsets[np.searchsorted(offsets, start, "right")])
                 while stop < row_end:
-                    found = np.flatnonzero(_SEPARATOR[data[stop : min(stop + size, row_end)]])
+                    found = np.flatnonzero(separator[data[stop : min(stop + size, row_end)]])
                     if len(found):
                         stop += int(found[0]) + 1
                         break
@@ -104,9 +112,9 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE) -> Iterator
         start = stop
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, start: int, stop: int, separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the words in a slice: the row, first byte and byte after the last."""
-    inside = ~_SEPARATOR[data[start:stop]]
+    inside = ~separator[data[start:stop]]
     if not len(inside):
         z = np.zeros(0, np.int64)
         return z, z, z
@@ -130,11 +138,11 @@ def span_hashes(data: np.ndarray, start: int, stop: int, begin: np.ndarray, end:
     return mix((total[end - start] - total[begin - start]) * down[begin - start] + (end - begin).astype(np.uint64))
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def word_hashes(column: pa.Array, separator: np.ndarray = _SEPARATOR) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row and hash of each word (A-Z lower-cased), in order, slice by slice."""
     data, offsets = column_bytes(column)
-    for start, stop in slices(data, offsets):
-        row, begin, end = word_spans(data, offsets, start, stop)
+    for start, stop in slices(data, offsets, separator=separator):
+        row, begin, end = word_spans(data, offsets, start, stop, separator)
         if len(row):
             yield row, span_hashes(data, start, stop, begin, end)
 

@@ -1,11 +1,77 @@
-"""Corpus preparation as a chain of stages over the documents table."""
+"""Corpus preparation: five stages from the documents table to token ids.
+
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns a
+DataFrame, which is written as Parquet and read again as the next stage's docs.  All but the
+last return the columns of docs.  Rows that share a doc_id are one document to the n-gram join
+stage, which keeps the least of them; to the others they are rows of their own.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from basketry.llm import bpe, decontamination, language, ngram_join, quality
+from basketry.llm.queries import table, tokenizer_path
+from basketry.session import ship_package, write_table
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter, of which at least half the letters are in one learned language."""
+    ship_package(spark)
+    found = language.language_of(F.col("text"), language.fit(docs))
+    judged = docs.select(F.struct("*").alias("row"), found.alias("found"))
+    return judged.where((F.col("found.lang") != "und") & (F.col("found.score") >= 0.5)).select("row.*")
+
+
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of quality 1 by their text and their source's and language's posteriors."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select(F.struct("*").alias("row"), "text", "source", "lang")
+    return quality.classify(rows, F.col("source"), F.col("lang"), model, ["row"]).where("accepted").select("row.*")
+
+
+def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group that five-word shingles link at a
+    similarity of 0.8 or more."""
+    found, _ = write_table(ngram_join.ngram_components(docs, size=5, percent=80), "components")
+    groups = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    groups, _ = write_table(groups.where("component_id <> doc_id or rows > 1"), "groups")
+    once = docs.join(groups.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(groups.where("component_id = doc_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    return once.unionByName(again.groupBy("doc_id").agg(F.min(F.struct("*")).alias("row")).select("row.*"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the SHA-256 of the ids and of
+    the text they decode to."""
+    path = tokenizer_path()
+    both = bpe.decode(bpe.encode(docs, path), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("quality classifier", classify_quality),
+    ("n-gram Jaccard join", join_ngrams),
+    ("benchmark decontamination", decontaminate),
+    ("BPE encoding and decoding", encode_bpe),
+]
+
+#: SQL has neither the classifiers nor the tokenizer; the tests run a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs, _ = write_table(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs
