@@ -61,3 +61,10 @@ def cents(decimal_col) -> Column:
 def from_cents(c) -> Column:
     """Integer cents back to a 2-dp decimal."""
     return (_c(c).cast("decimal(38,0)") / F.lit(100)).cast("decimal(20,2)")
+
+
+def mean_score(score, rows, k: int = 4) -> Column:
+    """Mean of scores in [0, 1] rounded half-up to k places, from a sum of integers (scores in
+    units of 10^-10), so it does not depend on the order of the rows."""
+    units = F.sum(F.round(_c(score).cast("double") * F.lit(1e10)).cast("bigint"))
+    return half_up(units, rows.cast(_WIDE) * F.lit(10 ** 10).cast(_WIDE), k)

@@ -14,15 +14,16 @@ the offset to a window that only ever sees one chunk.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UNB = Window.unboundedPreceding
 
-# A range window holds about this many rows at most (more ranges for bigger inputs), up
-# to MAX_RANGES ranges; the bucket of a row is found in log2(ranges) struct comparisons.
-ROWS_PER_RANGE = 4_000_000
-MAX_RANGES = 4096
+# Sampled keys for each range; the driver receives about this times the number of ranges.
+KEYS_PER_RANGE = 16
 
 
 def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
@@ -56,52 +57,89 @@ def _key_struct(cols: list[Column]) -> Column:
     return F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(cols)])
 
 
-def _boundaries(df: DataFrame, order: list[Column], n_ranges: int, per_range: int = 64) -> list[tuple]:
-    """Ascending split points of the sort key: at least ``n_ranges`` ranges, more when
-    the input would put over ROWS_PER_RANGE rows in one range (at most MAX_RANGES).
+def _boundaries(df: DataFrame, order: list[Column], n_ranges: int) -> list[tuple]:
+    """At most ``n_ranges - 1`` ascending split points of the sort key.
 
-    One pass: the ``k`` rows with the smallest key hash (a top-k, at most ``k`` rows
-    per task) are a uniform sample that depends only on the data — not on partitioning,
-    row order or retries — and the k-th smallest hash estimates the row count
-    (n ≈ (k − 1) / h_k), which sizes the number of ranges.  A second, larger sample is
-    drawn only when that estimate asks for more ranges than the first one supports.
+    The sampled rows are those whose key hash is below a threshold set from the row count,
+    so every task returns only wanted rows and the sample depends on the data alone, not on
+    partitioning, row order or retries.  The ranks built on the ranges are exact whatever
+    the split points are; the sample only balances them.
     """
-    h = (F.abs(F.xxhash64(*order) % F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))).alias("_h")
-    keys = [c.alias(f"_k{i}") for i, c in enumerate(order)]
-    base = df.select(h, *keys)
-    k = max(n_ranges, 1) * per_range
-    while True:
-        rows = base.orderBy("_h", *[f"_k{i}" for i in range(len(order))]).limit(k).collect()
-        if len(rows) < k:
-            n_est = len(rows)
-        else:
-            n_est = (k - 1) / max(rows[-1]["_h"], 1e-12)
-        wanted = min(MAX_RANGES, max(n_ranges, -(-int(n_est) // ROWS_PER_RANGE)))
-        if wanted <= n_ranges or len(rows) < k:
-            break
-        n_ranges, k = wanted, wanted * per_range
-    if not rows or n_ranges <= 1:
+    if n_ranges <= 1:
         return []
-    sample = sorted(tuple(r)[1:] for r in rows)
-    m, cuts = len(sample), []
-    for j in range(1, n_ranges):
-        b = sample[min(m - 1, (j * m) // n_ranges)]
+    keys = df.select(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
+    share = min(1.0, KEYS_PER_RANGE * n_ranges / max(1, keys.count()))
+    h = F.pmod(F.xxhash64(*keys.columns), F.lit(1 << 30))
+    sample = sorted(tuple(r) for r in keys.where(h < int(share * (1 << 30))).collect())
+    cuts: list[tuple] = []
+    for j in range(1, n_ranges if sample else 1):
+        b = sample[(j * len(sample)) // n_ranges]
         if not cuts or b > cuts[-1]:
             cuts.append(b)
     return cuts
 
 
 def _bucket_of(key: Column, cuts: list[tuple], types) -> Column:
-    """Number of split points ≤ key, as a balanced tree of struct comparisons."""
-    def lit_key(b):
-        return F.struct(*[F.lit(v).cast(t).alias(f"_k{i}") for i, (v, t) in enumerate(zip(b, types))])
+    """Number of split points ≤ key: a binary search in one array of keys, so the expression
+    has the same size for any number of ranges."""
+    if not cuts:
+        return F.lit(0)
+    one = T.StructType([T.StructField(f"_k{i}", t) for i, t in enumerate(types)])
+    rows = [{f"_k{i}": v for i, v in enumerate(cut)} for cut in cuts]
+    table = F.from_json(F.lit(json.dumps(rows, default=str)), T.ArrayType(one))  # folded to one constant
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.call_function("div", s["lo"] + s["hi"], F.lit(2)).cast("int")
+        open_ = s["lo"] < s["hi"]
+        right = open_ & (F.get(table, mid) <= key)
+        return F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(open_ & ~right, mid).otherwise(s["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length()))
+    return F.aggregate(steps, start, halve, lambda s: s["lo"])
+
+
+def _ranged(df: DataFrame, order: list, n_ranges: int | None) -> tuple[DataFrame, list[Column]]:
+    """The rows with their range of the order in ``_range``, and the order as columns."""
+    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    types = [f.dataType for f in df.select(*order).schema.fields]
+    return df.withColumn("_range", _bucket_of(_key_struct(order), _boundaries(df, order, n), types)), order
+
 
-    def node(lo: int, hi: int) -> Column:  # key lies in [cuts[lo-1], cuts[hi]) → bucket lo..hi
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key < lit_key(cuts[mid - 1]), node(lo, mid - 1)).otherwise(node(mid, hi))
-    return node(0, len(cuts))
+def keys_at_ranks(df: DataFrame, order: list, ranks: list[int], n_ranges: int | None = None) -> list[tuple]:
+    """The sort keys at the given 1-based ranks of the order, exactly, without ranking rows.
+
+    One pass counts the rows of every range; then only the ranges that hold a wanted rank
+    are ordered, each in a window of its own, and one row per rank reaches the driver.
+    """
+    ranged, order = _ranged(df.select(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)]),
+                            [f"_o{i}" for i in range(len(order))], n_ranges)
+    wanted: dict[tuple[int, int], list[int]] = {}
+    before = 0
+    for r in sorted(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["_range"]):
+        for i, rank in enumerate(ranks):
+            if before < rank <= before + r["n"]:
+                wanted.setdefault((r["_range"], rank - before), []).append(i)
+        before += r["n"]
+    if len({i for at in wanted.values() for i in at}) != len(ranks):
+        raise ValueError("a rank lies outside the rows")
+    some = ranged.where(F.col("_range").isin(sorted({k[0] for k in wanted})))
+    placed = some.withColumn("_rn", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    pick = F.lit(False)
+    for at, n in wanted:
+        pick = pick | ((F.col("_range") == at) & (F.col("_rn") == n))
+    out: list = [None] * len(ranks)
+    for r in placed.where(pick).collect():
+        for i in wanted[r["_range"], r["_rn"]]:
+            out[i] = tuple(r[f"_o{k}"] for k in range(len(order)))
+    return out
+
+
+def key_literal(key: tuple, types) -> Column:
+    """A sort key as a struct literal, comparable with a struct of the order's columns."""
+    return F.struct(*[F.lit(v).cast(t).alias(f"_k{i}") for i, (v, t) in enumerate(zip(key, types))])
 
 
 def ordered_prefix(df: DataFrame, order: list, sums: dict[str, Column],
@@ -119,14 +157,9 @@ def ordered_prefix(df: DataFrame, order: list, sums: dict[str, Column],
     (≤ n_ranges rows) become offsets that are broadcast back.  Callers materialize an
     expensive input first: it is read by the sample, the range totals and the rows.
     """
-    spark = df.sparkSession
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order]
-    types = [f.dataType for f in df.select(*order).schema.fields]
-    cuts = _boundaries(df, order, n)
     vals = {name: f"_v_{i}" for i, name in enumerate(sums)}
-    base = df.select("*", *[col.alias(vals[name]) for name, col in sums.items()])
-    ranged = base.withColumn("_range", _bucket_of(_key_struct(order), cuts, types))
+    ranged, order = _ranged(df, order, n_ranges)
+    ranged = ranged.select("*", *[col.alias(vals[name]) for name, col in sums.items()])
     range_tot = ranged.groupBy("_range").agg(*[F.sum(v).alias(v) for v in vals.values()])
     # at most n rows: a single ordered window over them is bounded by n_ranges
     w_prev = Window.orderBy("_range").rowsBetween(_UNB, -1)

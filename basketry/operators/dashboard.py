@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
-from basketry.functions.exact import half_even_units
+from basketry.functions.exact import half_even_units, mean_score
 
 
 def health_of(segment: Column) -> Column:
@@ -138,7 +138,7 @@ def campaign_targets(rfm: DataFrame, predictions: DataFrame, products: DataFrame
          .join(products.select("product_id", "department_id"), "product_id")
          .join(departments, "department_id"))
     return (j.groupBy("segment", "department")
-            .agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg(score), 4).alias("avg_reorder_proba"),
+            .agg(F.count(F.lit(1)).alias("pairs"), mean_score(F.col(score), F.count(F.lit(1))).alias("avg_reorder_proba"),
                  F.sum("reordered_target").cast("bigint").alias("actual_reorders")))
 
 

@@ -30,8 +30,12 @@ def roc_auc_by(df: DataFrame, label: str, score: str, by: list[str] | None = Non
     AUC = Σ_s pos_s · (neg below s + neg_s / 2) / (P · N), computed as an exact integer
     numerator over an exact integer denominator.
     """
+    return roc_auc_of_groups(score_groups(df, label, score, by), score, by)
+
+
+def roc_auc_of_groups(g: DataFrame, score: str, by: list[str] | None = None) -> DataFrame:
+    """ROC-AUC from rows (by…, score, pos, neg)."""
     by = list(by or [])
-    g = score_groups(df, label, score, by)
     cum = ordered_prefix(g, [*by, score], {"_cneg": F.col("neg")})
     # running count restarts per group: subtract the negatives of all earlier groups
     if by:
@@ -132,17 +136,26 @@ def confusion_matrix(df: DataFrame, label: str, score: str, threshold: float = 0
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """One point per distinct score (threshold), highest first: fpr, tpr."""
+    """Fpr and tpr at each distinct score (threshold), after the origin (threshold NULL:
+    above every score)."""
     c = _desc_cumulative(df, label, score)
-    return c.select(F.col(score).cast("double").alias("threshold"),
-                    _ratio(F.col("fp"), F.col("fp_total")).alias("fpr"),
-                    _ratio(F.col("tp"), F.col("tp_total")).alias("tpr"))
+    points = c.select(F.col(score).cast("double").alias("threshold"),
+                      _ratio(F.col("fp"), F.col("fp_total")).alias("fpr"),
+                      _ratio(F.col("tp"), F.col("tp_total")).alias("tpr"))
+    origin = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return origin.unionByName(points)
 
 
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Precision and recall per distinct score, plus the no-skill base rate."""
+    """Precision and recall at each distinct score and, with threshold NULL, the end
+    point of recall 0 and precision 1; every row carries the no-skill base rate."""
     c = _desc_cumulative(df, label, score)
-    return c.select(F.col(score).cast("double").alias("threshold"),
-                    _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-                    _ratio(F.col("tp"), F.col("tp_total")).alias("recall"),
-                    _ratio(F.col("tp_total"), F.col("tp_total") + F.col("fp_total")).alias("base_rate"))
+    rate = _ratio(F.col("tp_total"), F.col("tp_total") + F.col("fp_total")).alias("base_rate")
+    points = c.select(F.col(score).cast("double").alias("threshold"),
+                      _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+                      _ratio(F.col("tp"), F.col("tp_total")).alias("recall"), rate)
+    y = F.col(label).cast("int")
+    end = df.agg(F.sum(y).cast("bigint").alias("p"), F.count(y).alias("n")).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
+        _ratio(F.col("p"), F.col("n")).alias("base_rate"))
+    return points.unionByName(end)

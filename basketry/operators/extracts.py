@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
-from basketry.functions.exact import cents, half_even, half_up, half_up_units
+from basketry.functions.exact import cents, half_even, half_up, half_up_units, mean_score
 
 
 def _whole(col: str) -> Column:
@@ -99,6 +99,6 @@ def department_opportunity(predictions: DataFrame, products: DataFrame, departme
               .join(departments, "department_id"))
     return (joined.groupBy("department")
             .agg(F.count(F.lit(1)).alias("predicted_candidates"),
-                 F.round(F.avg(score), 4).alias("avg_reorder_proba"),
+                 mean_score(F.col(score), F.count(F.lit(1))).alias("avg_reorder_proba"),
                  F.sum("reordered_target").cast("bigint").alias("actual_reorders"))
             .orderBy(F.col("avg_reorder_proba").desc(), F.col("department")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
-from basketry.functions.ordering import exact_rank
+from basketry.functions.ordering import exact_rank, key_literal, keys_at_ranks
 from basketry.operators import evaluation
 from basketry.session import materialize
 
@@ -29,19 +30,25 @@ def stratified_split(df: DataFrame, test_size: float = fixed.TEST_SIZE, seed: in
     """M1: exact stratified split.  Within each label stratum rows are ordered by
     md5(user|product|seed) (then the key); the first ceil(test_size · n_c) are ``test``.
 
-    The order is a pure function of the row, so the split is the same on any
-    partitioning and after any retry; positions come from the distributed rank.
+    The order is a pure function of the row, so the split is the same on any partitioning
+    and after any retry.  Only the last test key of each stratum is selected; rows are
+    labelled by comparing their own key with it, so none is ranked, moved or joined.
     """
-    h = _row_hash(seed)
-    ranked = exact_rank(df.withColumn("_h", h), [label, "_h", *KEYS], out="_pos")
-    per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
-    # one row per class of a binary target: the broadcast is bounded by the label domain
-    per_class = per_class.select(label, "_n_c", F.coalesce(F.sum("_n_c").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    j = ranked.join(F.broadcast(per_class), label)
-    n_test = F.ceil(F.lit(test_size) * F.col("_n_c"))
-    split = F.when(F.col("_pos") - F.col("_before") <= n_test, F.lit("test")).otherwise(F.lit("train"))
-    return j.withColumn("split", split).drop("_h", "_pos", "_n_c", "_before")
+    order = [label, "_h", *KEYS]
+    hashed = df.withColumn("_h", _row_hash(seed))
+    per_class = sorted((r[label], r["n"]) for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect())
+    if len(per_class) > 2:
+        raise ValueError("the label is not binary")
+    ranks, before = [], 0
+    for _, n in per_class:
+        ranks.append(before + math.ceil(test_size * n))
+        before += n
+    types = [hashed.schema[c].dataType for c in order]
+    key = F.struct(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)])
+    test = F.lit(False)
+    for (value, _), last in zip(per_class, keys_at_ranks(hashed, order, ranks) if ranks else []):
+        test = test | ((F.col(label) == value) & (key <= key_literal(last, types)))
+    return hashed.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h")
 
 
 def scaling_stats(train: DataFrame, features=fixed.FEATURES) -> DataFrame:
@@ -78,11 +85,6 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return per.select(label, "n_c", (total.cast("double") / (F.lit(2.0) * F.col("n_c").cast("double"))).alias("weight"))
 
 
-def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
-    w = class_weights(train, label)
-    return train.join(F.broadcast(w.select(label, "weight")), label)  # ≤ 2 rows
-
-
 def assemble(df: DataFrame, features=fixed.FEATURES, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 
@@ -133,36 +135,33 @@ def metric_row(model_name: str, scored: DataFrame, score: str = "reorder_proba")
 
 
 def permutation_importance(model, test: DataFrame, features=fixed.FEATURES,
-                           repeats: int = fixed.PERMUTATION_REPEATS, seed: int = fixed.SEED,
-                           blocks: int | None = None) -> DataFrame:
+                           repeats: int = fixed.PERMUTATION_REPEATS, seed: int = fixed.SEED) -> DataFrame:
     """Mean and population std of the drop in ROC-AUC when one feature's column is
     permuted, over ``repeats`` permutations, ordered by mean.
 
-    All features × repeats variants are scored in one pass.  A permutation is drawn per
-    (feature, repeat) inside hash blocks of the test rows: each row gets a block and two
-    ranks inside it — one from a row hash, one from a (feature, repeat) hash — and takes
-    the feature value of the row whose first rank equals its second.  Blocks are hash
-    balanced, so every window is a bounded slice of the test set.
+    A repeat pairs every test row with a donor by one permutation of all test rows: the row
+    at rank i of one hash order takes the features of the row at rank i of another.  Only
+    ranks, keys and donors' features meet in that join (one pass over the test rows a
+    repeat); the variants, each with one feature of the donor, are made map-side just before
+    scoring, and scores are counted per (feature, repeat, score) before any shuffle.
     """
-    spark = test.sparkSession
-    nb = blocks or int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    variants = F.explode(F.array(*[F.struct(F.lit(f).alias("_f"), F.lit(r).alias("_rep"))
-                                   for f in features for r in range(repeats)]))
-    base = test.select(*KEYS, LABEL, *features,
-                       F.pmod(F.xxhash64(*KEYS, F.lit(seed)), F.lit(nb)).alias("_blk"))
-    v = base.select("*", variants.alias("_v")).select("*", "_v._f", "_v._rep").drop("_v")
-    w = Window.partitionBy("_f", "_rep", "_blk")
-    v = (v.withColumn("_i", F.row_number().over(w.orderBy(_row_hash(seed), *KEYS)))
-          .withColumn("_j", F.row_number().over(w.orderBy(_row_hash(seed, F.col("_f"), F.col("_rep")), *KEYS))))
-    value = F.coalesce(*[F.when(F.col("_f") == f, F.col(f).cast("double")) for f in features])
-    donors = v.select("_f", "_rep", "_blk", F.col("_i").alias("_j"), value.alias("_donor"))
-    perm = v.join(donors, ["_f", "_rep", "_blk", "_j"])
-    cols = [F.when(F.col("_f") == f, F.col("_donor")).otherwise(F.col(f).cast("double")).alias(f) for f in features]
-    permuted = perm.select(*KEYS, LABEL, "_f", "_rep", *cols)
-    scored = predict_proba(model, permuted, "_p")
-    aucs = evaluation.roc_auc_by(scored, LABEL, "_p", ["_f", "_rep"])
+    base = test.select(*KEYS, LABEL, *features)
+    first = exact_rank(base.withColumn("_h", _row_hash(seed)), ["_h", *KEYS], out="_i").drop("_h")
+    aucs = []
+    for rep in range(repeats):
+        donor = base.select(*KEYS, F.struct(*features).alias("_donor")).withColumn("_h", _row_hash(seed, "donor", rep))
+        donor = exact_rank(donor, ["_h", *KEYS], out="_i").select("_i", "_donor")
+        variants = F.explode(F.array(*[
+            F.struct(F.lit(f).alias("_f"), *[(F.col("_donor")[g] if g == f else F.col(g)).cast("double").alias(g) for g in features])
+            for f in features])).alias("_v")
+        permuted = first.join(donor, "_i").select(LABEL, variants).select(LABEL, "_v.*")
+        aucs.append(predict_proba(model, permuted, "_p").groupBy("_f", "_p").agg(
+            F.sum(F.col(LABEL).cast("bigint")).alias("pos"), F.sum(1 - F.col(LABEL).cast("bigint")).alias("neg"))
+            .withColumn("_rep", F.lit(rep)))
+    groups = materialize(reduce(DataFrame.unionByName, aucs))
+    found = evaluation.roc_auc_of_groups(groups, "_p", ["_f", "_rep"])
     base_auc = evaluation.roc_auc(predict_proba(model, test, "_p"), LABEL, "_p").select("roc_auc").scalar()
-    drops = aucs.select(F.col("_f").alias("feature"), (base_auc - F.col("roc_auc")).alias("_d"))
+    drops = found.select(F.col("_f").alias("feature"), (base_auc - F.col("roc_auc")).alias("_d"))
     return (drops.groupBy("feature")
             .agg(F.avg("_d").alias("importance_mean"), F.stddev_pop("_d").alias("importance_std"))
             .orderBy(F.col("importance_mean").desc(), "feature"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import fixed
 from basketry.functions.exact import cents, from_cents, half_even, half_up_units
-from basketry.functions.ordering import exact_median, exact_rank
+from basketry.functions.ordering import exact_median, key_literal, keys_at_ranks
 from basketry.session import materialize
 
 
@@ -44,13 +44,22 @@ def rfm_raw(orders_clean: DataFrame) -> DataFrame:
 
 def quintile_band(df: DataFrame, value: str, out: str, bands: int = fixed.RFM_BANDS,
                   tie: str = "user_id") -> DataFrame:
-    """First-come rank (ties by ``tie``) cut into ``bands`` equal-width-in-rank
-    bands, right-closed: ``max(1, ceil(bands·(r−1)/(n−1)))``; a single row gets band 1."""
-    ranked = exact_rank(df, [value, tie], out="_r", with_count="_n")
-    band = F.when(F.col("_n") <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.call_function(
-            "div", F.lit(bands) * (F.col("_r") - 1) + F.col("_n") - 2, F.col("_n") - 1)))
-    return ranked.withColumn(out, band.cast("int")).drop("_r", "_n")
+    """First-come rank r (ties by ``tie``) of n rows cut into ``bands`` equal-width-in-rank
+    bands, right-closed: ``max(1, ceil(bands·(r−1)/(n−1)))``; a single row gets band 1.
+
+    Band b ends at rank ⌊b·(n−1)/bands⌋ + 1.  The keys at those ranks are selected, and each
+    row's band is the number of them below its own key, plus one: no row is ranked or moved.
+    """
+    n = df.count()
+    if not n:
+        return df.withColumn(out, F.lit(1))
+    types = [df.schema[c].dataType for c in (value, tie)]
+    ends = keys_at_ranks(df, [value, tie], [b * (n - 1) // bands + 1 for b in range(1, bands)])
+    key = F.struct(F.col(value).alias("_k0"), F.col(tie).alias("_k1"))
+    band = F.lit(1)
+    for end in ends:
+        band = band + (key > key_literal(end, types)).cast("int")
+    return df.withColumn(out, band.cast("int"))
 
 
 def segment_of(cell: Column) -> Column:
@@ -71,14 +80,12 @@ def action_of(segment: Column) -> Column:
 def rfm_scores(rfm: DataFrame, bands: int = fixed.RFM_BANDS) -> DataFrame:
     """R (low recency best), F, M scores, cell, score, segment, action.
 
-    The three bands are ranked independently from the same per-user rows and joined
-    back on user_id, so no ranking pass recomputes another.
+    Each dimension's band ends are selected keys, so the three bands are columns of the same
+    per-user rows: no ranking shuffle and no join back.
     """
-    def band(value, out):
-        return quintile_band(rfm.select("user_id", value), value, out, bands).select("user_id", out)
-    df = (rfm.join(band("recency", "_rb"), "user_id")
-          .join(band("frequency", "F"), "user_id")
-          .join(band("monetary", "M"), "user_id"))
+    df = quintile_band(rfm, "recency", "_rb", bands)
+    df = quintile_band(df, "frequency", "F", bands)
+    df = quintile_band(df, "monetary", "M", bands)
     df = df.withColumn("R", (F.lit(bands + 1) - F.col("_rb")).cast("int")).drop("_rb")
     df = df.withColumn("rfm_cell", F.concat(F.col("R").cast("string"), F.col("F").cast("string")))
     df = df.withColumn("rfm_score", (F.col("R") + F.col("F") + F.col("M")).cast("int"))
@@ -110,11 +117,14 @@ def segment_distribution(rfm: DataFrame) -> DataFrame:
 def segment_size_value(rfm: DataFrame) -> DataFrame:
     """Customers and total monetary value per segment (plotted by customers asc)."""
     return (rfm.groupBy("segment")
-            .agg(F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("total_monetary")))
+            .agg(F.count(F.lit(1)).alias("customers"), F.sum("monetary").alias("total_monetary"))
+            .orderBy("customers", "segment"))
 
 
 def rf_grid(rfm: DataFrame, bands: int = fixed.RFM_BANDS) -> DataFrame:
-    """Customer counts per R (rows) × F (columns f1..f5); empty cells are NULL."""
+    """Customer counts per R (rows, from the highest down, all present) × F (columns
+    f1..f5); empty cells are NULL."""
     levels = list(range(1, bands + 1))
     grid = rfm.groupBy("R").pivot("F", levels).agg(F.count(F.lit(1)))
-    return grid.select("R", *[F.col(str(f)).alias(f"f{f}") for f in levels])
+    rows = rfm.sparkSession.range(1, bands + 1).select(F.col("id").cast("int").alias("R"))
+    return rows.join(grid, "R", "left").select("R", *[F.col(str(f)).alias(f"f{f}") for f in levels]).orderBy(F.desc("R"))

@@ -7,15 +7,17 @@ as doubles at this edge only (the engine keeps them exact inside).
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
-from basketry.session import materialize
+from basketry.session import materialize, write_table
 from basketry.sources import files, prices as price_src, star
 from basketry.sources.events import events_panel
+from basketry.sources.panel import Panel
 from basketry.sources.star import star_panel
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -103,9 +105,9 @@ def q_constraint_violations(spark, sf):
 
 @query("table_counts")
 def q_table_counts(spark, sf):
-    p = _panel(spark, sf)
-    return quality.table_counts({"orders": p.orders, "order_products": p.order_products_raw,
-                                 "products": p.products})
+    return quality.table_counts({"orders": star.read_table(spark, sf, "orders"),
+                                 "order_products": star.read_table(spark, sf, "lineitem"),
+                                 "products": star.read_table(spark, sf, "part")})
 
 
 @query("order_sequence")
@@ -247,11 +249,12 @@ def q_order_trends(spark, sf):
 # --- features -----------------------------------------------------------------------------
 
 DET_SCORE = "up_purchase_rate"  # a deterministic score in [0, 1] present in the features
-QUERY_GBT_ROUNDS = 20  # registered model queries fit 20 rounds; the library default is 300
 
 
 def _features(spark, sf, grain="part"):
+    """The panel is derived once and written; every feature block reads pruned columns of it."""
     p = star_panel(spark, sf, grain=grain)
+    p = dataclasses.replace(p, orders=materialize(p.orders), order_products=materialize(p.order_products))
     oc = clean.orders_clean(p.orders, p.order_products, p.product_prices)
     return p, oc, features.reorder_features(p.orders, p.order_products, oc)
 
@@ -377,58 +380,114 @@ def q_campaign_targets(spark, sf):
 
 # --- models (family grain: enough positives to learn from) -------------------------------
 
+@dataclasses.dataclass
+class _Fitted:
+    panel: Panel
+    orders_clean: DataFrame
+    split: DataFrame
+    gbt: object
+    scored: DataFrame  # every candidate with its split and reorder_proba
+
+
+_FITTED: dict[tuple[str, str], _Fitted] = {}
+
+
 def _model_split(spark, sf):
-    return _split(spark, sf, grain="family")
+    p, oc, f = _features(spark, sf, "family")
+    split, _ = write_table(learning.stratified_split(materialize(f)), "split", partition_by=("split",))
+    return p, oc, split
 
 
-def _fit_gbt(split):
-    return learning.fit_gbt(split.where(F.col("split") == "train"), rounds=QUERY_GBT_ROUNDS)
+def _fitted(spark, sf) -> _Fitted:
+    """The boosted model of a data set, fitted once per application with the full number of
+    rounds and shared by every output that needs it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        p, oc, split = _model_split(spark, sf)
+        gbt = learning.fit_gbt(split.where(F.col("split") == "train"))
+        _FITTED[key] = _Fitted(p, oc, split, gbt, materialize(learning.predict_proba(gbt, split)))
+    return _FITTED[key]
 
 
-def _gbt_metrics(split, gbt):
-    scored = materialize(learning.predict_proba(gbt, split.where(F.col("split") == "test"))
-                         .select("reordered_target", "reorder_proba"))
-    return learning.metric_row("GradientBoosting", scored)
+def _test(df: DataFrame) -> DataFrame:
+    return df.where(F.col("split") == "test")
 
 
-@query("lr_scores")
-def q_lr_scores(spark, sf):
-    split = _model_split(spark, sf)
+def _gbt_metrics(m: _Fitted) -> DataFrame:
+    return learning.metric_row("GradientBoosting", _test(m.scored).select("reordered_target", "reorder_proba"))
+
+
+_SCORES = ["user_id", "product_id", "reordered_target", "reorder_proba"]
+
+
+def _lr_scored(split):
     stats = learning.scaling_stats(split.where(F.col("split") == "train"))
     lr = learning.fit_logistic(learning.standardize(split.where(F.col("split") == "train"), stats))
-    test = split.where(F.col("split") == "test")
-    return learning.predict_proba(lr, learning.standardize(test, stats)).select(
-        "user_id", "product_id", "reordered_target", "reorder_proba")
+    return learning.predict_proba(lr, learning.standardize(_test(split), stats)).select(*_SCORES)
+
+
+@query("lr_scores")
+def q_lr_scores(spark, sf):
+    return _lr_scored(_model_split(spark, sf)[2])
 
 
 @query("gbt_scores")
 def q_gbt_scores(spark, sf):
-    split = _model_split(spark, sf)
-    return learning.predict_proba(_fit_gbt(split), split.where(F.col("split") == "test")).select(
-        "user_id", "product_id", "reordered_target", "reorder_proba")
+    return _test(_fitted(spark, sf).scored).select(*_SCORES)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    return learning.model_comparison(_model_split(spark, sf), gbt_rounds=QUERY_GBT_ROUNDS)[0]
+    m = _fitted(spark, sf)
+    return learning.metric_row("LogisticRegression", materialize(_lr_scored(m.split))).unionByName(_gbt_metrics(m))
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
-    split = _model_split(spark, sf)
-    return learning.permutation_importance(_fit_gbt(split), split.where(F.col("split") == "test"))
+    m = _fitted(spark, sf)
+    return learning.permutation_importance(m.gbt, _test(m.split))
 
 
 @query("reorder_predictions")
 def q_reorder_predictions(spark, sf):
-    split = _model_split(spark, sf)
-    return learning.reorder_predictions(_fit_gbt(split), split.drop("split"))
+    return _fitted(spark, sf).scored.select(*learning.PREDICTION_COLUMNS)
+
+
+@query("prediction_candidates")
+def q_prediction_candidates(spark, sf):
+    """Every candidate of the predictions with its columns that no model estimates."""
+    return _features(spark, sf, "family")[2].select(*[c for c in learning.PREDICTION_COLUMNS if c != "reorder_proba"])
 
 
 @query("scorecard")
 def q_scorecard(spark, sf):
-    split = _model_split(spark, sf)
-    return dashboard.scorecard(_gbt_metrics(split, _fit_gbt(split)), features.base_rate(split))
+    m = _fitted(spark, sf)
+    return dashboard.scorecard(_gbt_metrics(m), features.base_rate(m.split))
+
+
+@query("scorecard_base_rate")
+def q_scorecard_base_rate(spark, sf):
+    return features.base_rate(_features(spark, sf, "family")[2])
+
+
+@query("model_department_opportunity")
+def q_model_department_opportunity(spark, sf):
+    m = _fitted(spark, sf)
+    return extracts.department_opportunity(m.scored, m.panel.products, m.panel.departments)
+
+
+@query("model_campaign_targets")
+def q_model_campaign_targets(spark, sf):
+    m = _fitted(spark, sf)
+    return dashboard.campaign_targets(rfm.rfm_segments(m.orders_clean), m.scored, m.panel.products, m.panel.departments)
+
+
+@query("candidate_departments")
+def q_candidate_departments(spark, sf):
+    """Candidates and actual reorders per department: the exact part of the opportunity."""
+    p, _, f = _features(spark, sf, "family")
+    found = extracts.department_opportunity(f.withColumn("reorder_proba", F.lit(0.0)), p.products, p.departments)
+    return found.select("department", "predicted_candidates", "actual_reorders")
 
 
 # --- dashboard -----------------------------------------------------------------------------
@@ -503,15 +562,22 @@ def q_products_in_department(spark, sf):
     return dashboard.products_in_department(pl, top)
 
 
+@query("dashboard_kpis_model")
+def q_dashboard_kpis_model(spark, sf):
+    m = _fitted(spark, sf)
+    return dashboard.kpis_with_model(dashboard.dashboard_kpis(_summary(spark, sf)), _gbt_metrics(m))
+
+
 @query("dashboard_payload")
 def q_dashboard_payload(spark, sf):
-    p, dl = _dept_loyalty(spark, sf)
+    """All from one pipeline: the family panel and its boosted model's predictions."""
+    m = _fitted(spark, sf)
+    p = m.panel
+    dl = extracts.department_loyalty(p.order_products, p.orders, p.products, p.departments)
     pl = extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments)
-    _, _, _, pred = _det_predictions(spark, sf)
-    opp = extracts.department_opportunity(pred, p.products, p.departments)
-    split = _model_split(spark, sf)
-    metrics = _gbt_metrics(split, _fit_gbt(split))
-    return dashboard.dashboard_payload(_summary(spark, sf), dl, opp, pl, metrics)
+    opp = extracts.department_opportunity(m.scored, p.products, p.departments)
+    summary = materialize(extracts.segment_summary(rfm.rfm_segments(m.orders_clean)))
+    return dashboard.dashboard_payload(summary, dl, opp, pl, _gbt_metrics(m))
 
 
 # --- the events panel: a second source with real day gaps and hours ------------------

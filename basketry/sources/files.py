@@ -17,21 +17,21 @@ from basketry.sources.prices import ensure_prices
 
 DEPARTMENTS = T.StructType([T.StructField("department_id", T.IntegerType()),
                             T.StructField("department", T.StringType())])
-PRODUCTS = T.StructType([T.StructField("product_id", T.IntegerType()),
+PRODUCTS = T.StructType([T.StructField("product_id", T.LongType()),
                          T.StructField("product_name", T.StringType()),
                          T.StructField("aisle_id", T.IntegerType()),
                          T.StructField("department_id", T.IntegerType())])
-PRICES = T.StructType([T.StructField("product_id", T.IntegerType()),
+PRICES = T.StructType([T.StructField("product_id", T.LongType()),
                        T.StructField("price", T.DecimalType(8, 2))])
-ORDERS = T.StructType([T.StructField("order_id", T.IntegerType()),
-                       T.StructField("user_id", T.IntegerType()),
+ORDERS = T.StructType([T.StructField("order_id", T.LongType()),
+                       T.StructField("user_id", T.LongType()),
                        T.StructField("eval_set", T.StringType()),
                        T.StructField("order_number", T.IntegerType()),
                        T.StructField("order_dow", T.IntegerType()),
                        T.StructField("order_hour_of_day", T.IntegerType()),
                        T.StructField("days_since_prior_order", T.DoubleType())])
-LINES = T.StructType([T.StructField("order_id", T.IntegerType()),
-                      T.StructField("product_id", T.IntegerType()),
+LINES = T.StructType([T.StructField("order_id", T.LongType()),
+                      T.StructField("product_id", T.LongType()),
                       T.StructField("add_to_cart_order", T.IntegerType()),
                       T.StructField("reordered", T.IntegerType())])
 
@@ -54,6 +54,12 @@ def union_prior_train(prior: DataFrame, train: DataFrame) -> DataFrame:
             .unionByName(train.withColumn("eval_set", F.lit("train"))))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_panel(spark: SparkSession, raw_dir: str) -> Panel:
     """Load a market-basket directory: departments, aisles, products, optional
     product_prices, orders, order_products__prior / __train."""
@@ -61,7 +67,7 @@ def read_panel(spark: SparkSession, raw_dir: str) -> Panel:
     departments = read_csv(spark, j("departments.csv"), DEPARTMENTS)
     aisles = read_aisles(spark, j("aisles.csv"))
     products = read_csv(spark, j("products.csv"), PRODUCTS)
-    prices = read_csv(spark, j("product_prices.csv"), PRICES) if os.path.exists(j("product_prices.csv")) else None
+    prices = read_csv(spark, j("product_prices.csv"), PRICES) if exists(spark, j("product_prices.csv")) else None
     prices = ensure_prices(products, prices)
     orders = read_csv(spark, j("orders.csv"), ORDERS)
     lines = union_prior_train(read_csv(spark, j("order_products__prior.csv"), LINES),

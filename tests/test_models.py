@@ -20,7 +20,7 @@ def test_logistic_regression_zero_gradient(split):
     stats = learning.scaling_stats(train)
     std = learning.standardize(train, stats)
     model = learning.fit_logistic(std)
-    pdf = learning.with_weights(std).select(*fixed.FEATURES, "reordered_target", "weight").toPandas()
+    pdf = std.join(learning.class_weights(std).select("reordered_target", "weight"), "reordered_target").select(*fixed.FEATURES, "reordered_target", "weight").toPandas()
     x = pdf[fixed.FEATURES].to_numpy(float)
     y = pdf["reordered_target"].to_numpy(float)
     w = pdf["weight"].to_numpy(float)
