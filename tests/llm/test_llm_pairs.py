@@ -101,7 +101,7 @@ def words(r, n):
 @pytest.fixture(scope="module")
 def leaks():
     r = random.Random(11)
-    items = [(i, words(r, r.randint(15, 60)) + ". " + words(r, 6) + ".") for i in range(30)]
+    items = [(i, words(r, r.randint(15, 50)) + ". " + words(r, 6) + ".") for i in range(180)]
     docs, true = [], set()
     for i in range(300):
         text = words(r, r.randint(1, 300))
