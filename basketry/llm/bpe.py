@@ -34,9 +34,9 @@ from basketry.llm.pieces import PieceEncoder
 from basketry.session import ship_package
 
 SCAN_BYTES = 64
-CACHED = 500_000
+CACHED = 250_000
 #: Characters of text handled at a time in a task.
-CHARS = 1 << 22
+CHARS = 1 << 21
 
 # Fixed value: the published pattern that splits text for byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from basketry.session import ensure_checkpoint_dir
@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)

@@ -12,7 +12,7 @@ from basketry.plans import registry
 
 @pytest.fixture(scope="module")
 def split(spark):
-    return registry._model_split(spark, "/root/testdata/sf0.001")
+    return registry._model_split(spark, "/root/testdata/sf0.001")[2]
 
 
 def test_logistic_regression_zero_gradient(split):
@@ -43,3 +43,16 @@ def test_gbt_ranks_better_than_chance_and_constant_feature_is_unimportant(split)
     imp = {r.feature: r for r in learning.permutation_importance(gbt, test, repeats=2).collect()}
     assert set(imp) == set(fixed.FEATURES)
     assert imp["up_tenure_orders"].importance_mean == 0.0 and imp["up_tenure_orders"].importance_std == 0.0
+
+
+def test_importance_does_not_depend_on_the_number_of_partitions(spark, split):
+    gbt = learning.fit_gbt(split.where(F.col("split") == "train"), rounds=2)
+    test = split.where(F.col("split") == "test")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append([tuple(r) for r in learning.permutation_importance(gbt, test, repeats=1).collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]

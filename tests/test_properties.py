@@ -151,16 +151,38 @@ def test_stratified_split_exact_and_stable(spark):
         assert counts[(c, "test")] == -(-n_c // 4)
 
 
-def test_exact_rank_with_more_ranges_than_configured(spark, monkeypatch):
+@pytest.mark.parametrize("ranges", [1, 4, 300])
+def test_exact_rank_with_any_number_of_ranges(spark, ranges):
     from basketry.functions import ordering
-    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 50)  # 3000 rows -> about 60 ranges
     df = _ties_frame(spark, 3000, distinct=3)
-    got = ordering.exact_rank(df, ["x", "user_id"], out="r", n_ranges=4)
+    got = ordering.exact_rank(df, ["x", "user_id"], out="r", n_ranges=ranges)
     ref = df.withColumn("r2", F.row_number().over(Window.orderBy("x", "user_id")))
     j = got.join(ref, ["user_id", "x"])
     assert j.where(F.col("r") != F.col("r2")).count() == 0
-    cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], 4)
-    assert 20 <= len(cuts) + 1 <= 200
+    cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], ranges)
+    assert len(cuts) <= ranges - 1 and len(cuts) >= min(ranges - 1, 100)
+    keys = ordering.keys_at_ranks(df, ["x", "user_id"], [1, 17, 1500, 3000], n_ranges=ranges)
+    ranks = {(r.x, r.user_id): r.r2 for r in ref.collect()}
+    assert [ranks[k] for k in keys] == [1, 17, 1500, 3000]
+
+
+def test_sampled_keys_are_few_however_many_tasks(spark):
+    from basketry.functions import ordering
+    df = spark.range(0, 200_000, 1, 64).select((F.col("id") % 1000).alias("x"), F.col("id").alias("user_id"))
+    cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], 64)
+    share = ordering.KEYS_PER_RANGE * 64 / 200_000
+    picked = df.where(F.pmod(F.xxhash64("x", "user_id"), F.lit(1 << 30)) < int(share * (1 << 30))).count()
+    assert len(cuts) == 63 and picked < 2 * ordering.KEYS_PER_RANGE * 64
+
+
+def test_roc_curve_area_is_roc_auc(spark):
+    rows, df = _scores(spark, 400, seed=3)
+    points = sorted((r.fpr, r.tpr) for r in evaluation.roc_curve(df, "y", "s").collect())
+    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+    assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0)
+    assert area == pytest.approx(_brute_auc(rows), abs=1e-12)
+    end = [r for r in evaluation.pr_curve(df, "y", "s").collect() if r.threshold is None]
+    assert [(r.precision, r.recall) for r in end] == [(1.0, 0.0)]
 
 
 def test_ranking_metrics_one_pass_equals_separate(spark):

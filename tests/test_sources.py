@@ -73,3 +73,16 @@ def test_panel_views_for_sql(spark, tmp_path):
     got = spark.sql("SELECT eval_set, count(*) AS n FROM t_order_products GROUP BY eval_set ORDER BY eval_set").collect()
     assert [(r.eval_set, r.n) for r in got] == [("prior", 2), ("train", 1)]
     assert spark.table("t_orders").count() == 2
+
+
+def test_prices_survive_a_path_with_a_scheme(spark, tmp_path):
+    p = files.read_panel(spark, "file://" + _raw_dir(tmp_path, True, False))
+    assert dict(p.product_prices.collect()) == {1: Decimal("2.99"), 2: Decimal("0.50")}
+
+
+def test_ids_beyond_32_bits(spark, tmp_path):
+    d = _raw_dir(tmp_path, False, False)
+    _write(d, "orders.csv", "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
+                            "5000000000,6000000000,prior,1,0,9,\n")
+    o = files.read_panel(spark, d).orders.first()
+    assert (o.order_id, o.user_id) == (5000000000, 6000000000)
