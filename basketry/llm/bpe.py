@@ -287,3 +287,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row (doc_id, ids)."""
     ship_package(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(_decode(path), "doc_id long, ids binary, text string")
+
+
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text) of every row of ``docs``, encoded and decoded by one Python worker a
+    task rather than a chain of two, which would hold the vocabulary twice."""
+    ship_package(docs.sparkSession)
+    first, second = _encode(path), _decode(path)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        lambda batches: second(first(batches)), "doc_id long, ids binary, text string")

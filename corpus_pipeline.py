@@ -52,7 +52,7 @@ def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit) and the SHA-256 of the ids and of
     the text they decode to."""
     path = tokenizer_path()
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode_and_decode(docs, path)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
