@@ -28,7 +28,7 @@ KEYS_PER_RANGE = 16
 
 def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
                       out: str = "seq", prev_bucket: str | None = None,
-                      group_size: str | None = None) -> DataFrame:
+                      group_size: str | None = None, coarse: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by bucket, *order)``.
 
     ``bucket`` must be a column that is monotone in the ordering (e.g. the day of a
@@ -36,11 +36,25 @@ def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
     buckets; the per-(key, bucket) counts are prefix-summed on the much smaller chunk
     table.  Optionally returns the previous bucket value of the key (``prev_bucket``)
     and the key's row count (``group_size``).
+
+    Where one key may have very many buckets (``bucket`` numeric), ``coarse`` adds up runs of
+    so many buckets first: no window then holds more than ``coarse`` chunks, or more than one
+    row for each run.
     """
     chunks = df.groupBy(*keys, bucket).agg(F.count(F.lit(1)).alias("_chunk_n"))
     wk = Window.partitionBy(*keys).orderBy(bucket)
-    cols = [*keys, bucket,
-            F.coalesce(F.sum("_chunk_n").over(wk.rowsBetween(_UNB, -1)), F.lit(0)).alias("_before")]
+    before = F.coalesce(F.sum("_chunk_n").over(wk.rowsBetween(_UNB, -1)), F.lit(0))
+    if coarse:
+        if prev_bucket or group_size:
+            raise ValueError("coarse gives the sequence only")
+        chunks = chunks.withColumn("_run", F.call_function("div", F.col(bucket), F.lit(coarse)))
+        runs = chunks.groupBy(*keys, "_run").agg(F.sum("_chunk_n").alias("_run_n"))
+        wr = Window.partitionBy(*keys).orderBy("_run").rowsBetween(_UNB, -1)
+        runs = runs.select(*keys, "_run", F.coalesce(F.sum("_run_n").over(wr), F.lit(0)).alias("_run_before"))
+        chunks = chunks.join(runs, [*keys, "_run"])
+        wk = Window.partitionBy(*keys, "_run").orderBy(bucket).rowsBetween(_UNB, -1)
+        before = F.col("_run_before") + F.coalesce(F.sum("_chunk_n").over(wk), F.lit(0))
+    cols = [*keys, bucket, before.alias("_before")]
     if prev_bucket:
         cols.append(F.lag(bucket).over(wk).alias(prev_bucket))
     if group_size:

@@ -44,7 +44,7 @@ def events_panel(spark: SparkSession, sf_dir: str) -> Panel:
         "department_id", F.concat(F.lit("department "), F.col("department_id").cast("string")).alias("department"))
     aisles = departments.select(F.col("department_id").alias("aisle_id"), F.col("department").alias("aisle"))
     li = ev.select("order_id", "product_id", "line")
-    lines = flag_reorders(basket_lines(li, dedup=True), orders, "inner")
-    raw = flag_reorders(basket_lines(li, dedup=False), orders, "left")
+    lines = flag_reorders(basket_lines(li, dedup=True, coarse=1024), orders, "inner")
+    raw = flag_reorders(basket_lines(li, dedup=False, coarse=1024), orders, "left")
     return Panel(orders=orders, order_products=lines, products=products, departments=departments,
                  aisles=aisles, product_prices=derived_prices(products), order_products_raw=raw)

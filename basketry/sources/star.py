@@ -63,15 +63,16 @@ def dedup_basket(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id", "product_id").agg(F.min("line").alias("first_line"))
 
 
-def basket_lines(lines: DataFrame, dedup: bool = True) -> DataFrame:
-    """P5–P6 on (order_id, product_id, line) → lines with ``add_to_cart_order``."""
+def basket_lines(lines: DataFrame, dedup: bool = True, coarse: int | None = None) -> DataFrame:
+    """P5–P6 on (order_id, product_id, line) → lines with ``add_to_cart_order``; ``coarse`` where
+    line numbers are global, so that one order may spread over very many chunks."""
     if dedup:
         lines = dedup_basket(lines)
     else:
         lines = lines.withColumnRenamed("line", "first_line")
     lines = lines.withColumn("_cart_chunk", F.call_function("div", F.col("first_line"), F.lit(CART_CHUNK)))
     lines = sequence_in_group(lines, ["order_id"], "_cart_chunk", ["first_line", "product_id"],
-                              out="add_to_cart_order")
+                              out="add_to_cart_order", coarse=coarse)
     return lines.select("order_id", "product_id", "add_to_cart_order")
 
 

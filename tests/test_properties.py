@@ -191,3 +191,12 @@ def test_ranking_metrics_one_pass_equals_separate(spark):
     assert r.roc_auc == evaluation.roc_auc(df, "y", "s").first().roc_auc
     assert r.average_precision == pytest.approx(_brute_ap(rows), abs=1e-12)
     assert r.roc_auc == pytest.approx(_brute_auc(rows), abs=1e-12)
+
+
+def test_sequence_of_a_group_spread_over_many_buckets(spark):
+    rows = [(1, i * 37 % 100_003, i * 37 % 100_003 // 16) for i in range(4000)] + [(2, 5, 0), (2, 900_000, 56_250)]
+    df = spark.createDataFrame(rows, "order_id long, line long, chunk long").repartition(5)
+    got = sequence_in_group(df, ["order_id"], "chunk", ["line"], out="n", coarse=32)
+    ref = df.withColumn("n2", F.row_number().over(Window.partitionBy("order_id").orderBy("line")))
+    j = got.join(ref, ["order_id", "line"])
+    assert j.count() == len(rows) and j.where(F.col("n") != F.col("n2")).count() == 0
