@@ -37,7 +37,7 @@ SWITCH = 8.0
 #: A language is written in the scripts that hold this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Words labelled at a time.
-WORDS = 1_000_000
+WORDS = 500_000
 
 # First and last code point of the letters of common scripts.
 SCRIPTS = (

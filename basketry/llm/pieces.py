@@ -55,6 +55,10 @@ class PieceEncoder:
 
     def __init__(self, whole: Callable[[list[str]], list[np.ndarray]], following: Callable[[list[str]], list[np.ndarray]], special: list[str], cached: int) -> None:
         self.whole, self.following, self.special, self.cached = whole, following, special, cached
+        self.forget()
+
+    def forget(self) -> None:
+        """Give the memory of all pieces back."""
         self.now, self.before = _Generation(), _Generation()
 
     def _lookup(self, pieces: list[str]) -> np.ndarray:
