@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.pieces import PieceEncoder
+from basketry.llm.texts import frugal
 from basketry.session import ship_package
 
 SCAN_BYTES = 64
@@ -272,7 +273,7 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text)."""
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path), "doc_id long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(_encode(path)), "doc_id long, ids binary")
 
 
 def _decode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -287,7 +288,7 @@ def _decode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row (doc_id, ids)."""
     ship_package(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInArrow(_decode(path), "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(frugal(_decode(path)), "doc_id long, ids binary, text string")
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
@@ -296,4 +297,4 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     ship_package(docs.sparkSession)
     first, second = _encode(path), _decode(path)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        lambda batches: second(first(batches)), "doc_id long, ids binary, text string")
+        frugal(lambda batches: second(first(batches))), "doc_id long, ids binary, text string")

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.texts import column_bytes, held_out, slices
+from basketry.llm.texts import column_bytes, frugal, held_out, slices
 from basketry.session import ship_package
 
 ROWS = 3_000
@@ -156,7 +156,7 @@ def fit(docs: DataFrame) -> dict:
     for lang in langs:
         share = min(1.0, ROWS / held[lang])
         pick = pick | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
-    cells = known.where(pick).select("text", "lang").mapInArrow(_count(langs), "cell long, n long")
+    cells = known.where(pick).select("text", "lang").mapInArrow(frugal(_count(langs)), "cell long, n long")
     wide = (1 << FEATURE_BITS) + len(_NAMES) + 1
     count = np.zeros(len(langs) * wide)
     for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most langs * wide rows
@@ -275,7 +275,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
     ``spans`` are runs of words with one language: its name and the run's first and last word.
     """
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_identify(model), _FOUND)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(_identify(model)), _FOUND)
 
 
 def language_of(text: Column, model: dict) -> Column:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components
-from basketry.llm.texts import mix, word_hashes
+from basketry.llm.texts import frugal, mix, word_hashes
 from basketry.session import drop_path, ship_package, write_table
 
 #: N-gram hashes have so many bits.
@@ -321,13 +321,13 @@ def gram_nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     nodes of which enough n-grams occur in other nodes too (with just those n-grams)."""
     ship_package(docs.sparkSession)
     buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    blocks = docs.select("doc_id", "text").mapInArrow(_to_blocks(size, buckets), _PACKED)
+    blocks = docs.select("doc_id", "text").mapInArrow(frugal(_to_blocks(size, buckets)), _PACKED)
     dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    shared = dealt.mapInArrow(_find_shared(buckets), _PACKED)
+    shared = dealt.mapInArrow(frugal(_find_shared(buckets)), _PACKED)
     # blocks of documents need no key: they are spread by a hash of their bytes
     spread = F.when(F.col("kind") == _DOCS, -1 - F.pmod(F.xxhash64("data"), F.lit(buckets)).cast("int")).otherwise(F.col("bucket"))
     back = shared.withColumn("bucket", spread).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return back.mapInArrow(_gather(percent), _SETS)
+    return back.mapInArrow(frugal(_gather(percent)), _SETS)
 
 
 def _ordered(nodes: DataFrame, percent: int) -> DataFrame:
