@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from basketry.functions import fixed
 from basketry.functions.ordering import exact_rank, key_literal, keys_at_ranks
 from basketry.operators import evaluation
-from basketry.session import materialize
+from basketry.session import ensure_checkpoint_dir, materialize
 
 LABEL = "reordered_target"
 KEYS = ["user_id", "product_id"]
@@ -115,6 +115,7 @@ def fit_gbt(train: DataFrame, rounds: int = fixed.GBT_ROUNDS, rate: float = fixe
     learner would use)."""
     gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=rate,
                         maxDepth=depth, maxBins=255, seed=seed)
+    ensure_checkpoint_dir(train.sparkSession)  # cuts the lineage of the rounds
     return gbt.fit(assemble(train))
 
 

@@ -32,12 +32,16 @@ def recency(orders_clean: DataFrame) -> DataFrame:
 
 def rfm_raw(orders_clean: DataFrame) -> DataFrame:
     """frequency/monetary left-joined with recency; a missing recency takes the
-    median of the present ones (exact, interpolated)."""
-    joined = frequency_monetary(orders_clean).join(recency(orders_clean), "user_id", "left")
-    # one row per user, read by the median job and by three ranking passes: write once
+    median of the present ones (exact, interpolated).  A user with two train orders would
+    appear twice, so that is an error."""
+    gaps = recency(orders_clean).groupBy("user_id").agg(F.max("recency").alias("recency"), F.count(F.lit(1)).alias("_n"))
+    joined = frequency_monetary(orders_clean).join(gaps, "user_id", "left")
+    # one row per user, read by the median job and by the selection of band ends: write once
     joined = materialize(joined)
-    # one number, fetched once: as a subquery it would re-run in every job of the three
-    # ranking passes that read this table
+    if joined.where("_n > 1").limit(1).count():
+        raise ValueError("a user has more than one train order")
+    joined = joined.drop("_n")
+    # one number, fetched once: as a subquery it would re-run in every job that reads this table
     med = joined.select(exact_median(joined, "recency")).first()[0]
     return joined.withColumn("recency", F.coalesce(F.col("recency"), F.lit(med).cast("double")))
 

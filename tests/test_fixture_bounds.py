@@ -1,8 +1,9 @@
 """Boundary cases of FIXTURES.md §3: HAVING / LIMIT cut, band thresholds, fan-out."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators import dashboard, extracts, features
+from basketry.operators import dashboard, extracts, features, rfm
 
 
 def test_product_loyalty_having_and_limit(spark):
@@ -50,3 +51,12 @@ def test_two_train_orders_do_not_fan_out_candidates(spark):
           .withColumn("reordered_items", F.lit(0)))
     f = features.reorder_features(orders, lines, oc).collect()
     assert len(f) == 1 and f[0].reordered_target == 1
+
+
+def test_two_train_orders_are_an_error_for_recency(spark):
+    rows = [(1, 1, "prior", 1.0), (2, 1, "train", 2.0), (3, 1, "train", 3.0)]
+    oc = (spark.createDataFrame(rows, "order_id long, user_id long, eval_set string, days_since_prior_order double")
+          .withColumn("basket_size", F.lit(1)).withColumn("order_value", F.lit(1).cast("decimal(10,2)")))
+    with pytest.raises(ValueError):
+        rfm.rfm_raw(oc)
+    assert rfm.rfm_raw(oc.where("order_id < 3")).first().recency == 2.0
