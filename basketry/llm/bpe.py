@@ -231,7 +231,11 @@ def _encoder(path: str) -> PieceEncoder:
             out.append(np.concatenate([x for pair in zip(ids, [*special, ids[0][:0]]) for x in pair]))
         return out
 
-    return PieceEncoder(whole, lambda pieces: _of_words([v.split.findall(" " + p) for p in pieces], v), list(v.special), CACHED)
+    def following(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = _of_words([v.split.findall(" " + p) for p in pieces], v)
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64)
+
+    return PieceEncoder(whole, following, list(v.special), CACHED)
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:

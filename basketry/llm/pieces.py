@@ -29,9 +29,8 @@ class _Generation:
         self.ids = np.zeros(8192, np.uint32)
         self.used = 0
 
-    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
-        n, sizes = len(self.index), np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
+    def add(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.index)
         for name, need in (("start", n + len(pieces)), ("size", n + len(pieces)), ("ids", self.used + len(flat))):
             a = getattr(self, name)
             if len(a) < need:
@@ -42,18 +41,22 @@ class _Generation:
         self.used += len(flat)
         self.index.update(zip(pieces, range(n, n + len(pieces))))
 
-    def get(self, i: int) -> np.ndarray:
-        return self.ids[self.start[i] : self.start[i] + self.size[i]]
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces end to end, and how many each has."""
+        size, start = self.size[at], self.start[at]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.ids[np.repeat(start - total[:-1], size) + np.arange(total[-1])], size
 
 
 class PieceEncoder:
-    """Ids of texts; ``whole`` encodes texts, ``following`` pieces that a space comes before.
+    """Ids of texts; ``whole`` encodes texts, ``following`` pieces that a space comes before (it
+    returns their ids end to end, and how many each has).
 
     It remembers the pieces of the last two generations of ``cached`` pieces, so memory is
     bounded and frequent pieces stay.  Texts that hold a special string are encoded whole.
     """
 
-    def __init__(self, whole: Callable[[list[str]], list[np.ndarray]], following: Callable[[list[str]], list[np.ndarray]], special: list[str], cached: int) -> None:
+    def __init__(self, whole: Callable[[list[str]], list[np.ndarray]], following: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: list[str], cached: int) -> None:
         self.whole, self.following, self.special, self.cached = whole, following, special, cached
         self.forget()
 
@@ -66,9 +69,9 @@ class PieceEncoder:
             self.now, self.before = _Generation(), self.now
         missing = [p for p in pieces if p not in self.now.index]
         old = [p for p in missing if p in self.before.index]
-        self.now.add(old, [self.before.get(self.before.index[p]) for p in old])
+        self.now.add(old, *self.before.gather(np.array([self.before.index[p] for p in old], np.int64)))
         new = [p for p in missing if p not in self.before.index]
-        self.now.add(new, self.following(new))
+        self.now.add(new, *self.following(new))
         return np.fromiter(map(self.now.index.__getitem__, pieces), np.int64, len(pieces))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -90,9 +93,8 @@ class PieceEncoder:
         rest[bounds[:-1]] = False
         coded = values.filter(pa.array(rest)).dictionary_encode()
         place = self._lookup(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        size, start = self.now.size[place], self.now.start[place]
+        flat, size = self.now.gather(place)
         total = np.concatenate([[0], np.cumsum(size)])
-        flat = self.now.ids[np.repeat(start - total[:-1], size) + np.arange(total[-1])]
         cut = total[bounds - np.arange(len(bounds))]
         for i, head, a, b in zip(rows, heads, cut[:-1].tolist(), cut[1:].tolist()):
             out[i] = np.concatenate([head, flat[a:b]]).astype("<u4", copy=False)

@@ -62,16 +62,17 @@ class Tokens(PieceEncoder):
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> list[np.ndarray]:
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces are encoded together, with the spaces they were cut at; the tokens' widths
-        tell which belong to which piece."""
-        out: list[np.ndarray] = []
+        tell how many belong to each piece."""
+        flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         for a in range(0, len(pieces), 4000):
             some = pieces[a : a + 4000]
             ids = self._library([" " + " ".join(some)])[0]
             end = np.cumsum([len(p.encode("utf-8", "replace")) + 1 for p in some])
-            out += np.split(ids, np.searchsorted(np.cumsum(self.width[ids]), end)[:-1] + 1)
-        return out
+            flat.append(ids)
+            sizes.append(np.diff(np.searchsorted(np.cumsum(self.width[ids]), end) + 1, prepend=0))
+        return np.concatenate(flat), np.concatenate(sizes)
 
 
 @lru_cache(maxsize=2)
