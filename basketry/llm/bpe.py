@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.pieces import PieceEncoder
-from basketry.llm.texts import frugal
-from basketry.session import ship_package
+from basketry.llm.texts import frugal, prepare
 
 SCAN_BYTES = 64
 CACHED = 250_000
@@ -276,7 +275,7 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(_encode(path)), "doc_id long, ids binary")
 
 
@@ -291,14 +290,14 @@ def _decode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row (doc_id, ids)."""
-    ship_package(encoded.sparkSession)
+    prepare(encoded.sparkSession)
     return encoded.select("doc_id", "ids").mapInArrow(frugal(_decode(path)), "doc_id long, ids binary, text string")
 
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of every row of ``docs``, encoded and decoded by one Python worker a
     task rather than a chain of two, which would hold the vocabulary twice."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     first, second = _encode(path), _decode(path)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         frugal(lambda batches: second(first(batches))), "doc_id long, ids binary, text string")

@@ -28,8 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.order import range_of, split_points
-from basketry.llm.texts import column_bytes, mix, slices, span_hashes, word_spans
-from basketry.session import ship_package
+from basketry.llm.texts import column_bytes, mix, prepare, slices, span_hashes, word_spans
 
 EXACT, LIKE = 8, 256
 #: Characters of text handled at a time in a task.
@@ -150,7 +149,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     end of the range before, and the first of all to the end of the last.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     points = split_points(docs, "doc_id", 4 * parts)
     least = docs.agg(F.min("doc_id").alias("m"), F.max(F.col("doc_id").isNull()).alias("null")).first()

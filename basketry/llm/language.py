@@ -27,8 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.texts import column_bytes, frugal, held_out, slices
-from basketry.session import ship_package
+from basketry.llm.texts import column_bytes, frugal, held_out, prepare, slices
 
 ROWS = 3_000
 FEATURE_BITS = 15
@@ -146,7 +145,7 @@ def _count(langs: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 def fit(docs: DataFrame) -> dict:
     """A model for ``identify`` from the rows of ``docs`` (doc_id, text, lang) not held out."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     held = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(held)
@@ -274,7 +273,7 @@ def identify(docs: DataFrame, model: dict) -> DataFrame:
 
     ``spans`` are runs of words with one language: its name and the run's first and last word.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(_identify(model)), _FOUND)
 
 

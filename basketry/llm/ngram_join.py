@@ -39,13 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components
-from basketry.llm.texts import frugal, mix, word_hashes
-from basketry.session import drop_path, ship_package, write_table
+from basketry.llm.texts import frugal, mix, prepare, word_hashes
+from basketry.session import drop_path, write_table
 
 #: N-gram hashes have so many bits.
 BITS = 56
 #: A block of step 2 is packed when it holds so many n-grams.
-BLOCK = 1_000_000
+BLOCK = 750_000
+#: Parts in which a bucket of step 2 is sorted.
+PARTS = 8
 #: Global orders of the n-grams: the first by frequency and hash, the others with other hashes.
 ORDERS = 3
 
@@ -234,11 +236,17 @@ def _find_shared(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         for _, held in _by_bucket(batches):
             out = [(kind, b, data) for kind, b, data in _passed(held, buckets)]
             single = [_entries(data) for kind, data in held if kind == _SINGLE]
-            if single:
-                gram = np.concatenate([x[0] for x in single])
-                node = np.concatenate([x[1] for x in single])
-                none = np.concatenate([x[2] for x in single])
-                single = []
+            held.clear()
+            ends = np.concatenate([x[0][-1:] for x in single]) if single else np.zeros(1, np.uint64)
+            # a part of the bucket's n-grams at a time, so that sorting needs little more memory
+            starts = np.concatenate([x[0][:1] for x in single]) if single else np.zeros(1, np.uint64)
+            limits = np.linspace(float(starts.min()), float(ends.max()), PARTS + 1)[1:-1].astype(np.uint64)
+            cuts = [np.concatenate([[0], np.searchsorted(x[0], limits), [len(x[0])]]) for x in single]
+            kept: list[tuple[np.ndarray, np.ndarray]] = []
+            for k in range(PARTS if single else 0):
+                gram, node, none = (np.concatenate([x[i][c[k] : c[k + 1]] for x, c in zip(single, cuts)]) for i in range(3))
+                if not len(gram):
+                    continue
                 # equal sets of different blocks name the same node: they count once
                 order = np.argsort(gram, kind="stable")
                 gram, node, none = gram[order], node[order], none[order]
@@ -248,7 +256,10 @@ def _find_shared(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 many = np.zeros(int(run_of[-1]) + 1, bool)
                 many[run_of[1:][other]] = True
                 keep = many[run_of] & ~none
-                gram, node = gram[keep], node[keep]
+                kept.append((gram[keep], node[keep]))
+            single = []
+            if kept:
+                gram, node = (np.concatenate([x[i] for x in kept]) for i in (0, 1))
                 where = _node_bucket(node, buckets)
                 order = np.lexsort((gram, where))
                 gram, node, where = gram[order], node[order], where[order]
@@ -319,7 +330,7 @@ def _gather(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def gram_nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Steps 1 and 2: rows (doc_id, node, n) of all documents, and rows (node, n, grams) of the
     nodes of which enough n-grams occur in other nodes too (with just those n-grams)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = docs.select("doc_id", "text").mapInArrow(frugal(_to_blocks(size, buckets)), _PACKED)
     dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")

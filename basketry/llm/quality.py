@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.texts import column_bytes, slices, span_hashes, word_spans
+from basketry.llm.texts import column_bytes, prepare, slices, span_hashes, word_spans
 from basketry.llm.toxicity import sample_rows
-from basketry.session import ship_package, write_table
+from basketry.session import write_table
 
 ROWS = 2_500
 ROW_BYTES = 65_536
@@ -138,7 +138,7 @@ def site_posteriors(scored: DataFrame, model: dict) -> DataFrame:
 def classify(docs: DataFrame, host: Column, path: Column, model: dict, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``docs`` (with text), and host, path, evidence, host_posterior,
     path_posterior, score and accepted (score of one half or more)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     named = [F.col(c).alias(f"kept_{c}") for c in keep]
     rows = docs.select(*named, host.alias("host"), path.alias("path"), evidence(F.col("text"), model).alias("evidence"))
     sites, _ = write_table(site_posteriors(rows.select("host", "path", "evidence"), model), "quality-sites")

@@ -14,9 +14,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.session import ship_package
+
 #: Bytes of a slice; a slice only grows beyond it for a single word that is longer.
 SLICE = 1 << 18
 #: ASCII white space that separates words: space, tab, line feed, vertical tab, form feed, return.
@@ -170,3 +172,16 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
                 trim(0)
 
     return wrapped
+
+
+#: Rows of an Arrow batch: whole texts travel in them, and either side holds some at a time.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship this package to the workers, and lower the session's Arrow batches from Spark's
+    default to ``BATCH_ROWS`` rows (a size the user has chosen stays)."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, BATCH_ROWS)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from basketry.llm.order import range_of, split_points
 from basketry.llm.storage import committed, new_folder, open_file, write_manifest
 from basketry.llm.pieces import PieceEncoder
-from basketry.session import ship_package
+from basketry.llm.texts import prepare
 
 CHUNK_BITS = 8
 BLOCK = 512
@@ -214,7 +214,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END, file_t
     """Write the ids of every row of ``docs`` (doc_id, text), each text followed by the id
     ``end``, to ``folder``; returns the manifest, with every file's first token of all."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     points = split_points(docs, "doc_id", 3 * parts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -255,7 +255,7 @@ def _read(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def read_tokens(spark: SparkSession, folder: str, manifest: list[dict]) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
-    ship_package(spark)
+    prepare(spark)
     files = spark.createDataFrame([(e["name"], e["sha256"], e["start"]) for e in manifest], "name string, sha256 string, start long")
     return files.repartition(max(1, min(len(manifest), int(spark.conf.get("spark.sql.shuffle.partitions"))))).mapInArrow(_read(folder), _READ)
 

@@ -31,8 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.texts import column_bytes, frugal, held_out, slices, word_spans
-from basketry.session import ship_package
+from basketry.llm.texts import column_bytes, frugal, held_out, prepare, slices, word_spans
 
 TOXIC_ROWS = 3_600
 ORDINARY_ROWS = 12_000
@@ -190,5 +189,5 @@ def _score(model: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score) of every row of ``docs`` (doc_id, text)."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(_score(model)), "doc_id long, score double")

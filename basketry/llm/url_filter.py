@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.session import ship_package
+from basketry.llm.texts import prepare
 
 MAX_BITS = 1 << 30
 
@@ -114,7 +114,7 @@ def _keep(cascade: Cascade, level: int) -> Callable[[Iterator[pa.RecordBatch]],
 def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     """A cascade of the listed keys, exact over them and the universe (both: column key)."""
     cascade = Cascade()
-    ship_package(listed.sparkSession)
+    prepare(listed.sparkSession)
     inside = listed.select("key").distinct().select(*_hashes(F.col("key"))).cache()
     outside = universe.select("key").distinct().join(listed.select("key").distinct(), "key", "left_anti").select(*_hashes(F.col("key"))).cache()
     n, others = inside.count(), outside.count()
@@ -176,7 +176,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     for name in ("allow", "block"):
         listed = rules.where(F.col("verdict") == name).select(F.concat("host", "path").alias("key"))
         cascades[name] = build_cascade(listed, universe)
-    ship_package(spark)
+    prepare(spark)
     h1 = F.transform("keys", lambda k: _hashes(k)[0]).alias("h1")
     h2 = F.transform("keys", lambda k: _hashes(k)[1]).alias("h2")
     return parsed.select("page_id", "host", "path", "keys", h1, h2).mapInArrow(_judge(cascades), _JUDGED)

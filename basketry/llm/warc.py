@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 
 from basketry.llm.order import range_of, split_points
 from basketry.llm.storage import committed, new_folder, open_file, write_manifest
-from basketry.session import ship_package, write_table
+from basketry.llm.texts import prepare
+from basketry.session import write_table
 
 FILE_BYTES = 64 << 20
 REVISIT_BYTES = 100
@@ -125,7 +126,7 @@ def _write(folder: str, file_bytes: int) -> Callable[[Iterator[pa.RecordBatch]],
 def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> list[dict]:
     """Write every row of ``pages`` (page_id, url, html) to ``folder``; returns the manifest."""
     spark = pages.sparkSession
-    ship_package(spark)
+    prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -185,7 +186,7 @@ def _read(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
 def read_warc(spark: SparkSession, folder: str, manifest: list[dict]) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record."""
-    ship_package(spark)
+    prepare(spark)
     files = spark.createDataFrame([(e["name"], e["sha256"]) for e in manifest], "name string, sha256 string")
     return files.repartition(max(1, min(len(manifest), int(spark.conf.get("spark.sql.shuffle.partitions"))))).mapInArrow(_read(folder), _READ)
 

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from basketry.llm import bpe, decontamination, language, ngram_join, quality
 from basketry.llm.queries import table, tokenizer_path
-from basketry.session import ship_package, write_table
+from basketry.llm.texts import prepare
+from basketry.session import write_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter, of which at least half the letters are in one learned language."""
-    ship_package(spark)
+    prepare(spark)
     found = language.language_of(F.col("text"), language.fit(docs))
     judged = docs.select(F.struct("*").alias("row"), found.alias("found"))
     return judged.where((F.col("found.lang") != "und") & (F.col("found.score") >= 0.5)).select("row.*")
