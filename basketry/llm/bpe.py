@@ -268,7 +268,8 @@ def _encode(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs, texts in groups(batches, CHARS):
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(encode_texts(texts, path), pa.binary())], ["doc_id", "ids"])
-        _encoder(path).forget()  # the worker lives on, maybe with other work
+        _encoder.cache_clear()  # the worker lives on, maybe with other work
+        load.cache_clear()
 
     return run
 

@@ -45,7 +45,7 @@ from basketry.session import drop_path, write_table
 #: N-gram hashes have so many bits.
 BITS = 56
 #: A block of step 2 is packed when it holds so many n-grams.
-BLOCK = 750_000
+BLOCK = 500_000
 #: Parts in which a bucket of step 2 is sorted.
 PARTS = 8
 #: Global orders of the n-grams: the first by frequency and hash, the others with other hashes.
