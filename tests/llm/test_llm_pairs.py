@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketry.llm import decontamination as dc
@@ -150,6 +151,40 @@ def test_latent_candidates_reach_the_recall_of_brute_force(spark, leaks):
     assert wanted.sum() > 20 and (latent[wanted] >= dc.COSINE).mean() >= 0.9
 
 
+@pytest.mark.parametrize("scale", [1, 1_000, 1_000_000])
+def test_every_pair_that_brute_force_accepts_is_found_at_any_corpus_size(spark, scale):
+    """Short items with a fifth of their words changed, in clean text, with the weights of a
+    corpus of scale times as many documents."""
+    r = random.Random(5)
+    common = words(r, 60).split()
+    some = lambda n: [r.choice(common) if r.random() < 0.5 else words(r, 1) for _ in range(n)]
+    items = [(i, " ".join(some(r.randint(9, 50))) + ". " + " ".join(some(6)) + ".") for i in range(100)]
+    docs = []
+    for i in range(100):
+        w = items[i][1].split()
+        for k in r.sample(range(len(w)), len(w) // 5):
+            w[k] = words(r, 1)
+        docs.append((i, " ".join(some(r.randint(20, 90)) + w + some(r.randint(20, 90)))))
+    block = dc.Block(items)
+    numbered = frame(spark, docs).select("doc_id", "text").mapInArrow(dc._number(block), "doc_id long, words binary")
+    sequences = {i: block.numbers(dc.words_of(t)).tolist() for i, t in docs}
+    df = np.bincount(np.concatenate([np.unique(s) for s in sequences.values()]), minlength=len(block.vocabulary) + 1).astype(float)
+    df[0] = len(docs)
+    weight = dc.word_weights(df * scale)
+    model = spark.sparkContext.broadcast(dc.retrieval(block, weight, dc.latent_space(numbered, block, weight, 4000)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(sequences), "words": [np.array(s, block.kind).tobytes() for s in sequences.values()]})
+    got = {(d, i) for b in dc._search(block, weight, model)(iter([batch])) for d, i in zip(*(b.column(k).to_pylist() for k in (0, 1)))}
+    whole = [(i, block.numbers(w).tolist(), block.numbers(a).tolist()) for i, w, a in block.items]
+    wanted = set()
+    for d, s in sequences.items():
+        for item, w, answer in whole:
+            for a in range(0, max(1, len(s) - 32), 32):
+                near = s[max(0, a - len(w)) : a + 64 + len(w)]
+                if dc.subsequence(w, near) >= dc.COVERED * len(w) and dc.subsequence(answer, near) >= dc.ANSWERED * len(answer):
+                    wanted.add((d, item))
+    assert got == wanted and len(wanted) > 85
+
+
 def test_decontamination_edges(spark):
     item = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "too short"), (5, item)], "item_id long, text string")
