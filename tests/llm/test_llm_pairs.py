@@ -195,6 +195,19 @@ def test_decontamination_edges(spark):
     assert dc.contaminated(frame(spark, docs), bench.where("false")).collect() == []
 
 
+def test_a_changed_word_in_a_short_last_sentence_hides_no_item(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve. Er."
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = [(1, item.replace("Er", "zz")), (2, item.replace("Er", "zz").replace("two", "zz").replace("four", "zz").replace("five", "zz")),
+            (3, "one two three four five six seven eight nine ten zz zz. zz.")]
+    assert {r["doc_id"] for r in dc.contaminated(frame(spark, docs), bench).collect()} == {1}
+    long = "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 a11 a12 a13 a14. b1 b2. Er."
+    bench = spark.createDataFrame([(1, long)], "item_id long, text string")
+    docs = [(1, "a1 zz a3 a4 zz a6 a7 a8 zz a10 a11 a12 a13 a14 b1 b2 zz"), (2, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 a11 a12 zz zz zz zz zz")]
+    found = {r["doc_id"]: (r["covered"], r["answered"]) for r in dc.contaminated(frame(spark, docs), bench).collect()}
+    assert found == {1: (13 / 17, 4 / 5)}
+
+
 def test_subsequence():
     assert dc.subsequence([1, 2, 3, 4], [9, 1, 0, 3, 4, 2]) == 3
     assert dc.subsequence([1, 1, 2], [1, 2, 1]) == 2 and dc.subsequence([1], []) == 0
