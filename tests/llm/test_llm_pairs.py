@@ -208,6 +208,18 @@ def test_a_changed_word_in_a_short_last_sentence_hides_no_item(spark):
     assert found == {1: (13 / 17, 4 / 5)}
 
 
+def test_long_items_are_judged_whole_over_all_their_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dc, "BLOCK_PARTS", 2)
+    w = [f"v{i}" for i in range(64 * 4 + 8)]
+    less = [x for i, x in enumerate(w) if i % 5]
+    bench = spark.createDataFrame([(1, " ".join(w)), (2, "p1 p2 p3 p4 p5 p6 p7")], "item_id long, text string")
+    docs = [(1, "x y " * 50 + " ".join(w)), (2, " ".join(less)), (3, "x y " * 50 + " ".join(w[-8:])), (4, " ".join(w[:100])), (5, " ".join(w[:60] + w[64:230])), (6, "p1 p2 p3 p4 p5 p6 p7")]
+    blocks = list(dc.item_blocks(bench))
+    assert [len(b.items) for b in blocks] == [2, 2, 1, 1] and {len(p) for b in blocks[:3] for _, p, _ in b.items} == {52, 53}
+    found = sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(frame(spark, docs), bench).collect())
+    assert found == [(1, 1), (2, 1), (5, 1), (6, 2)]
+
+
 def test_subsequence():
     assert dc.subsequence([1, 2, 3, 4], [9, 1, 0, 3, 4, 2]) == 3
     assert dc.subsequence([1, 1, 2], [1, 2, 1]) == 2 and dc.subsequence([1], []) == 0
