@@ -220,6 +220,15 @@ def test_long_items_are_judged_whole_over_all_their_blocks(spark, monkeypatch):
     assert found == [(1, 1), (2, 1), (5, 1), (6, 2)]
 
 
+def test_items_without_spaces_and_short_items(spark):
+    chinese, thai = "请问中国的首都是哪一座城市？答案是北京。", "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"
+    bench = spark.createDataFrame([(1, chinese), (2, thai), (3, "Blue whale"), (4, "北京"), (5, "?!")], "item_id long, text string")
+    docs = [(1, "今天天气很好，" + chinese.replace("哪", "那") + "我们走吧。"), (2, "นี่คือ" + thai + "ครับ"), (3, "a BLUE whale."),
+            (4, "the whale is blue, a blue old whale"), (5, "上海是一座很大的城市，天气很好。"), (6, None), (7, "x " * 3000 + "blue whale " * 40)]
+    found = sorted((r["doc_id"], r["item_id"]) for r in dc.contaminated(frame(spark, docs), bench).collect())
+    assert found == [(1, 1), (1, 4), (2, 2), (3, 3), (7, 3)]
+
+
 def test_subsequence():
     assert dc.subsequence([1, 2, 3, 4], [9, 1, 0, 3, 4, 2]) == 3
     assert dc.subsequence([1, 1, 2], [1, 2, 1]) == 2 and dc.subsequence([1], []) == 0
