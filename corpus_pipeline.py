@@ -2,13 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns a
 DataFrame, which is written as Parquet and read again as the next stage's docs.  All but the
-last return the columns of docs.  Rows that share a doc_id are one document to the n-gram join
-stage, which keeps the least of them; to the others they are rows of their own.
+last return the columns of docs.  What is kept is decided for every row by a hash of its doc_id
+and text (``_row``), so rows that share a doc_id but not the text, and rows without a doc_id, are
+documents of their own; rows with both in common are copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import bpe, decontamination, language, ngram_join, quality
@@ -32,21 +33,31 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality.classify(rows, F.col("source"), F.col("lang"), model, ["row"]).where("accepted").select("row.*")
 
 
+def _row() -> Column:
+    return F.xxhash64("doc_id", "text")  # never null
+
+
 def join_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group that five-word shingles link at a
-    similarity of 0.8 or more."""
-    found, _ = write_table(ngram_join.ngram_components(docs, size=5, percent=80), "components")
-    groups = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    groups, _ = write_table(groups.where("component_id <> doc_id or rows > 1"), "groups")
-    once = docs.join(groups.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    again = docs.join(groups.where("component_id = doc_id").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    return once.unionByName(again.groupBy("doc_id").agg(F.min(F.struct("*")).alias("row")).select("row.*"))
+    similarity of 0.8 or more; one without a doc_id only if none has one."""
+    found, _ = write_table(ngram_join.ngram_components(docs.select(_row().alias("doc_id"), "text"), size=5, percent=80), "components")
+    groups = found.groupBy(F.col("doc_id").alias("_row")).agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    grown = groups.where("component_id <> _row or rows > 1").select("component_id").distinct()
+    groups, _ = write_table(groups.join(grown, "component_id", "left_semi").select("_row", "component_id"), "groups")
+    ids = docs.select(_row().alias("_row"), "doc_id").join(groups, "_row")
+    least = ids.groupBy("component_id").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "_row")).alias("m"))
+    least, _ = write_table(least.select("m._row"), "least")
+    rows = docs.withColumn("_row", _row())
+    once = rows.join(groups.select("_row"), "_row", "left_anti").select(*docs.columns)
+    again = rows.join(least, "_row", "left_semi")
+    return once.unionByName(again.groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    found = decontamination.contaminated(docs.select(_row().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    rows = docs.withColumn("_row", _row())
+    return rows.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*docs.columns)
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,6 +80,22 @@ def test_repeated_rows_and_odd_texts_go_through_all_stages(spark):
         assert stage(spark, empty.drop("score"), SF).count() == 0, name
 
 
+def test_rows_without_an_id_and_namesakes_are_judged_by_themselves(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("text is not null").first()["text"]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    copy = "these are the words of a text that is here more than once and has no id"
+    texts = [(None, f"before it {item}"), (None, copy), (None, copy), (7, "seven words that are of the first row"), (7, "a clean namesake with other words than that"),
+             (8, f"leak {item}"), (8, "the clean namesake of a leak stays as it is"), (None, "group with an id a b c d e f g h i j k l m n o p q r s t u v w x y z"), (9, "group with an id a b c d e f g h i j k l m n o p q r s t u v w x y z")]
+    docs, _ = write_table(spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts], schema), "test")
+    joined, _ = write_table(corpus_pipeline.join_ngrams(spark, docs, SF), "test")
+    assert joined.dtypes == docs.dtypes
+    kept = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    once = [t for k, t in enumerate(texts) if k not in (2, 7)]
+    assert kept(joined.where(f"not contains(text, '{item[:12]}')")) == sorted((t for t in once if item not in t[1]), key=str)
+    clean = corpus_pipeline.decontaminate(spark, docs, SF)
+    assert kept(clean) == sorted((t for t in texts if item not in t[1]), key=str)
+
+
 def test_entry_registers_the_operators(spark):
     names = entry.queries()
     assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) <= set(names) and "pipeline" in names
