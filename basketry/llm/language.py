@@ -19,6 +19,7 @@ are ignored.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -66,15 +67,23 @@ _LATIN = np.int64(1 << _NAMES.index("Latin"))
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+#: Of U+2000-U+303F, which has most signs: the letters, letter numbers and marks of letters.
+_SIGNS = 0x2000
+_AMONG_SIGNS = np.array([unicodedata.category(chr(c))[0] == "L" or unicodedata.category(chr(c)) == "Nl"
+                         or (0x2C00 <= c < 0x2E00 and unicodedata.category(chr(c)) == "Mn") for c in range(_SIGNS, 0x3040)])
 
 
 def _letters(data: np.ndarray) -> np.ndarray:
     """Which bytes belong to letters: ASCII letters, and all of other characters but the
-    punctuation and signs of U+0080-U+00BF and U+2000-U+2FFF and U+3000-U+303F."""
+    punctuation and signs of U+0080-U+00BF and U+2000-U+303F."""
     is_letter = _ASCII_LETTER[data] | (data >= 0x80)
     after = np.append(data[1:], np.uint8(0))
     sign2 = np.flatnonzero((data == 0xC2) & ~np.isin(after, (0xAA, 0xB5, 0xBA)))
     sign3 = np.flatnonzero((data == 0xE2) | ((data == 0xE3) & (after == 0x80)))
+    if len(sign3):
+        d = np.append(data, np.zeros(2, np.uint8)).astype(np.int64)
+        point = ((d[sign3] & 0x0F) << 12) | ((d[sign3 + 1] & 0x3F) << 6) | (d[sign3 + 2] & 0x3F)
+        sign3 = sign3[~_AMONG_SIGNS[point - _SIGNS]]
     for at, size in ((sign2, 2), (sign3, 3)):
         for k in range(size):
             is_letter[at[at + k < len(data)] + k] = False

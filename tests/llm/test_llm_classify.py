@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,17 @@ def test_language_of_held_out_rows_and_spans(spark, tables, rows):
     assert {r["lang_pred"] for r in language.identify(docs.limit(4), none).collect()} == {"und"}
 
 
+def test_letters_among_the_signs_of_u2000_to_u303f():
+    texts = ["ⵜⴰⵎⴰⵣⵉⵖⵜ", "ⰳⰾⰰⰳⱁⰾⰻⱌⰰ", "ⲙⲉⲧⲣⲉⲙⲛⲭⲏⲙⲓ", "々", "“—…”", "€ ™? ①", "、。「」"]
+    letters = [int(language._letters(np.frombuffer(t.encode(), np.uint8)).sum()) for t in texts]
+    assert letters == [len(t.encode()) for t in texts[:4]] + [0, 0, 0]
+    model = {"langs": ["en", "xx"], "logs": np.zeros((1 << language.FEATURE_BITS, 2), np.float32), "scripts": [int(language._LATIN), 1]}
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    found = next(language._identify(model)(iter([batch])))
+    assert [x == "und" for x in found.column(1).to_pylist()] == [False] * 4 + [True] * 3
+    assert found.column(2).to_pylist() == [1.0] * 4 + [0.0] * 3
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(2)
     row = np.repeat([0, 1, 2, 5], [4, 1, 7, 3])
