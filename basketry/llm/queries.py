@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, fingerprint, language, ngram_join, quality, token_file, toxicity, url_filter, warc
+from basketry.llm import bpe, decontamination, fingerprint, language, ngram_join, quality, token_file, toxicity, url_filter, warc, whitening
 from basketry.llm.texts import held_out
+from basketry.llm.vectors import usable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +90,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector = F.col("embedding")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.when(usable(vector), whitening.quantized(vector, 1024, 100_000)).alias("x"))
+    model = whitening.fit(rows, "x")
+    error = whitening.identity_error(rows, "x", model)
+    share = [float(v / model.trace) for v in model.values]
+    found = whitening.transform(rows, "x", "vec_id", model)
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(F.lit(share or [0.0]), F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -100,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_url_filters": op10_url_filters,
+    "op12_whitening": op12_whitening,
 }
 
 #: The longest rule wins: the rules are tried from the longest to the shortest.
