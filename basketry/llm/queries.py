@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, fingerprint, language, ngram_join, quality, token_file, toxicity, url_filter, warc, whitening
+from basketry.llm import bpe, decontamination, fingerprint, language, near_vectors, ngram_join, quality, token_file, toxicity, url_filter, warc, whitening
 from basketry.llm.texts import held_out
 from basketry.llm.vectors import usable
 
@@ -102,6 +102,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(F.lit(share or [0.0]), F.col("at")).alias("explained"), F.lit(error).alias("identity_error"))
 
 
+def op13_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", 0.98)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -114,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_url_filters": op10_url_filters,
     "op12_whitening": op12_whitening,
+    "op13_near_duplicate_vectors": op13_near_duplicate_vectors,
 }
 
 #: The longest rule wins: the rules are tried from the longest to the shortest.
@@ -151,4 +156,22 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
 """
 
-ORACLES: dict[str, str] = {"op5_warc": _OP5_SQL, "op10_url_filters": _OP10_SQL}
+#: All pairs of a label, and every pair of rows that links reach.
+_OP13_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.size > 0 AND b.size > 0 AND list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.98
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (SELECT a, min(b) AS m FROM reach GROUP BY a), d AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c.m, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(c.m, vec_id)) AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN d ON d.a = vec_id
+"""
+
+ORACLES: dict[str, str] = {"op5_warc": _OP5_SQL, "op10_url_filters": _OP10_SQL, "op13_near_duplicate_vectors": _OP13_SQL}

@@ -5,9 +5,10 @@ import math
 import numpy as np
 import pytest
 
-from basketry.llm import whitening
+from basketry.llm import binary_codes as bc
+from basketry.llm import near_vectors, whitening
 from basketry.llm.bidiagonal import directions, dqds, householder
-from basketry.llm.queries import op12_whitening
+from basketry.llm.queries import op12_whitening, op13_near_duplicate_vectors
 
 SF = "/root/testdata/sf0.001"
 ROWS = "vec_id long, embedding array<float>, label int, x string"
@@ -115,3 +116,115 @@ def test_deviation_beyond_64_bits_is_null(spark):
     found = {r["id"]: r["deviation"] for r in whitening.transform(df, "x", "id", whitening.fit(df, "x")).collect()}
     s = 3 * (1 << 31) + 5
     assert found == {1: None, 2: (4 * (1 << 31) - s) ** 2, 3: None, 4: None}
+
+
+# --- near-duplicate vectors -----------------------------------------------------------------
+
+def near_rows(seed=3, family=60, noise=0.1):
+    """Random vectors of two labels, copies, scaled copies, and families of near copies."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.normal(size=24).tolist(), int(i % 2), "x") for i in range(150)]
+    rows += [(200 + i, rows[i][1], rows[i][2], "copy") for i in range(0, 40, 2)]
+    rows += [(240 + i, [3.0 * x for x in rows[i][1]], rows[i][2], "scaled") for i in range(20)]
+    rows += [(260 + i, rows[i][1], 1 - rows[i][2], "other label") for i in range(20)]
+    centre = rng.normal(size=24)
+    for i in range(family):
+        v = centre + noise * np.linalg.norm(centre) * rng.normal(size=24) / 5
+        rows.append((300 + i, v.tolist(), 1, "near"))
+    return rows
+
+
+def plain_links(rows, least=0.98):
+    out = []
+    for i, _, label, _ in rows:
+        out.append({"id": i, "n": 0, "label": label})
+    parent = list(range(len(rows)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    good = [label is not None and v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v) and any(v)
+            for _, v, label, _ in rows]
+    for a in range(len(rows)):
+        for b in range(a):
+            if good[a] and good[b] and rows[a][2] == rows[b][2] and len(rows[a][1]) == len(rows[b][1]):
+                x, y = (np.array(r, np.float32).astype(float) for r in (rows[a][1], rows[b][1]))
+                if x @ y / math.sqrt((x @ x) * (y @ y)) >= least:
+                    out[a]["n"] += 1
+                    out[b]["n"] += 1
+                    parent[root(a)] = root(b)
+    groups = {}
+    for k, r in enumerate(rows):
+        groups.setdefault(root(k), []).append(r[0])
+    result = []
+    for k, r in enumerate(rows):
+        ids = [i for i in groups[root(k)] if i is not None]
+        first = min(ids) if ids else None
+        result.append((r[0], out[k]["n"], first, r[0] == first))
+    return sorted(result, key=str)
+
+
+def found_links(spark, sf):
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in op13_near_duplicate_vectors(spark, sf).collect()), key=str)
+
+
+def test_op13_against_all_pairs(spark, tmp_path):
+    rows = near_rows()
+    plain = plain_links(rows)
+    assert sum(n for _, n, _, _ in plain) > 300
+    assert found_links(spark, write(spark, tmp_path, rows)) == plain
+
+
+def test_op13_many_bands_and_chunks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(near_vectors, "BUCKET", 8)
+    monkeypatch.setattr(near_vectors, "CHUNK", 16)
+    rows = near_rows(seed=4, family=120, noise=0.14)
+    assert found_links(spark, write(spark, tmp_path, rows)) == plain_links(rows)
+
+
+def test_op13_odd_rows(spark, tmp_path):
+    rows = ODD + [(20, [1.0, 2.0, 3.0], 3, "longer"), (21, [1.0, 2.0], 3, "shorter"), (None, [0.5, -0.25], 1, "again"), (-4, [1.0, -0.5], 1, "scaled"),
+                  (30, [1.0, 2.0], None, "no label"), (31, [1.0, 2.0], None, "no label"), (None, [9.0, -1.0], 7, "p"), (None, [9.0, -1.0], 7, "p"),
+                  (40, [1e-30, 2e-30], 5, "small"), (41, [1e30, 2e30], 5, "large"), (42, [4.0], 6, "one"), (43, [5.0], 6, "one"), (44, [-5.0], 6, "one")]
+    assert found_links(spark, write(spark, tmp_path, rows)) == plain_links(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, "a")], [(1, [0.0, 0.0], 1, "a")] * 2])
+def test_op13_nothing_to_link(spark, tmp_path, rows):
+    assert found_links(spark, write(spark, tmp_path, rows)) == [(r[0], 0, r[0], True) for r in rows]
+
+
+def test_near_duplicates_ignore_clashing_columns(spark):
+    schema = "vec_id long, embedding array<float>, label string, node string, copies long, n_links string, first int, d int, code string"
+    df = spark.createDataFrame([(5, [1.0, 2.0], "p", "n", 7, "q", 1, 2, "c"), (2, [1.0, 2.0], "p", "n", 7, "q", 1, 2, "c")], schema)
+    found = near_vectors.near_duplicates(df, "vec_id", "embedding", "label").collect()
+    assert sorted(map(tuple, found)) == [(2, 1, 2, True), (5, 1, 2, False)]
+
+
+def test_estimates_are_unbiased_and_bounded():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 64))
+    near = x[0] + 0.02 * rng.normal(size=(200, 64)) * np.linalg.norm(x[0])
+    units = bc.unit(np.vstack([x, near]))
+    codes = bc.unpack(bc.encode(units).pack())
+    exact, guess = units @ units.T, bc.estimates(codes, codes)
+    off = ~np.eye(len(units), dtype=bool)
+    assert abs((guess - exact)[off].mean()) < 5e-3
+    close = (exact >= 0.98) & off
+    assert close.sum() > 1000 and bc.possible(codes, codes, 0.98)[close].all()
+    far = exact < 0.7
+    assert bc.possible(codes, codes, 0.98)[far].sum() == 0
+
+
+def test_bands_meet_the_stated_probability():
+    rng = np.random.default_rng(2)
+    picked = near_vectors.bands(100_000, 0.98)
+    a = rng.normal(size=(3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    o = rng.normal(size=(3000, 64))
+    o -= (o * a).sum(axis=1, keepdims=True) * a
+    b = 0.98 * a + math.sqrt(1 - 0.98**2) * o / np.linalg.norm(o, axis=1, keepdims=True)
+    same = bc.side_bits(a, near_vectors.SIDE_BITS) == bc.side_bits(b, near_vectors.SIDE_BITS)
+    assert len(picked[0]) >= 7 and np.stack([same[:, p].all(axis=1) for p in picked]).any(axis=0).all()
