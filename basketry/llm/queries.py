@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, fingerprint, language, near_vectors, ngram_join, quality, token_file, toxicity, url_filter, warc, whitening
+from basketry.llm import bpe, decontamination, fingerprint, hard_negatives, language, near_vectors, ngram_join, quality, token_file, toxicity, url_filter, warc, whitening
 from basketry.llm.texts import held_out
 from basketry.llm.vectors import usable
 
@@ -90,6 +90,14 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector = F.col("embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), F.when(usable(vector), whitening.quantized(vector, 256, 0)).alias("x"))
+    return hard_negatives.hard_negatives(rows, "vec_id", "label", "x", F.col("vec_id") % 50 == 0)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vector = F.col("embedding")
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.when(usable(vector), whitening.quantized(vector, 1024, 100_000)).alias("x"))
@@ -117,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_url_filters": op10_url_filters,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_whitening": op12_whitening,
     "op13_near_duplicate_vectors": op13_near_duplicate_vectors,
 }
@@ -174,4 +183,26 @@ SELECT vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, least(vec_id, coales
 FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN d ON d.a = vec_id
 """
 
-ORACLES: dict[str, str] = {"op5_warc": _OP5_SQL, "op10_url_filters": _OP10_SQL, "op13_near_duplicate_vectors": _OP13_SQL}
+#: All scores of the anchors.
+_OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor, other, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+)
+SELECT p.anchor AS anchor_id, p.other AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+       s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) <= 3
+"""
+
+ORACLES: dict[str, str] = {"op5_warc": _OP5_SQL, "op10_url_filters": _OP10_SQL, "op11_hard_negatives": _OP11_SQL,
+                           "op13_near_duplicate_vectors": _OP13_SQL}

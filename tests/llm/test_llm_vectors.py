@@ -4,11 +4,13 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import binary_codes as bc
-from basketry.llm import near_vectors, whitening
+from basketry.llm import cover_tree as ct
+from basketry.llm import hard_negatives, near_vectors, whitening
 from basketry.llm.bidiagonal import directions, dqds, householder
-from basketry.llm.queries import op12_whitening, op13_near_duplicate_vectors
+from basketry.llm.queries import op11_hard_negatives, op12_whitening, op13_near_duplicate_vectors
 
 SF = "/root/testdata/sf0.001"
 ROWS = "vec_id long, embedding array<float>, label int, x string"
@@ -228,3 +230,104 @@ def test_bands_meet_the_stated_probability():
     b = 0.98 * a + math.sqrt(1 - 0.98**2) * o / np.linalg.norm(o, axis=1, keepdims=True)
     same = bc.side_bits(a, near_vectors.SIDE_BITS) == bc.side_bits(b, near_vectors.SIDE_BITS)
     assert len(picked[0]) >= 7 and np.stack([same[:, p].all(axis=1) for p in picked]).any(axis=0).all()
+
+
+# --- hard negatives -------------------------------------------------------------------------
+
+def plain_negatives(rows):
+    """Every score of every anchor, in Python integers."""
+    good = []
+    for i, v, label, _ in rows:
+        if i is not None and label is not None and v is not None and all(c is not None and math.isfinite(c) for c in v):
+            good.append((i, (label + 1) % 10 if i % 7 == 0 else label, [math.floor(256 * float(np.float32(c))) for c in v]))
+    out, asked = [], set()
+    for at, (anchor, label, q) in enumerate(good):
+        if anchor % 50 or (anchor, label, tuple(q)) in asked:
+            continue
+        asked.add((anchor, label, tuple(q)))
+        scored = [(-sum(a * b for a, b in zip(q, x)), i, other) for k, (i, other, x) in enumerate(good) if k != at]
+        same = sorted(s for s in scored if s[2] == label)[:5]
+        apart = sorted(s for s in scored if s[2] != label)
+        for p, positive, _ in same:
+            inside = [s for s in apart if 50 * -p <= 100 * -s[0] <= 95 * -p][:3]
+            out += [(anchor, positive, k + 1, n, -p, -s) for k, (s, n, _) in enumerate(inside)]
+    return sorted(out)
+
+
+def found_negatives(spark, sf):
+    columns = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in op11_hard_negatives(spark, sf).select(columns).collect())
+
+
+def grouped_rows(seed, n=700, d=12):
+    """Random vectors around centres that labels share, with copies and other lengths of vector."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, d))
+    rows = []
+    for i in range(n):
+        v = centres[int(rng.integers(12))] * rng.choice([0.4, 1.0, 2.0]) + 0.2 * rng.normal(size=d)
+        rows.append((i, (0.05 * v).tolist(), int(rng.integers(4)), "x"))
+    return rows + [(n + i, rows[i % 60][1], rows[i % 60][2], "copy") for i in range(200)]
+
+
+def test_op11_against_all_scores(spark):
+    plain = plain_negatives([(r["vec_id"], r["embedding"], r["label"], "") for r in table(SF)])
+    assert plain and found_negatives(spark, SF) == plain
+
+
+def test_op11_many_shards_and_blocks(spark, tmp_path, monkeypatch):
+    for k, v in (("SHARD", 64), ("BLOCK", 8), ("SAMPLE", 100)):
+        monkeypatch.setattr(hard_negatives, k, v)
+    rows = grouped_rows(6)
+    plain = plain_negatives(rows)
+    assert len(plain) > 50 and found_negatives(spark, write(spark, tmp_path, rows)) == plain
+
+
+def test_op11_odd_rows(spark, tmp_path):
+    rows = ODD + [(50, [1.0, 2.0], 1, "anchor"), (50, [1.0, 2.0], 1, "again"), (100, [2.0, 1.0], 1, "p"), (0, [0.0, 0.0], 1, "zero"),
+                  (150, [3.0], 4, "short"), (151, [3.0], 4, "p"), (152, [-3.0, 1.0], 4, "p"), (153, [2.0, 9.0], 5, "n"), (154, [2.5], 5, "n"),
+                  (155, [2.5], 5, "n"), (200, [-1.0, -1.0], 6, "a"), (201, [1.0, 1.0], 6, "negative positive"), (250, [1.0], 8, "alone")]
+    assert found_negatives(spark, write(spark, tmp_path, rows)) == plain_negatives(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None, "a")], [(50, [], 1, "a"), (51, [], 1, "b"), (52, [], 2, "c")], [(50, [1.0], 1, "a")]])
+def test_op11_little_or_nothing(spark, tmp_path, rows):
+    assert found_negatives(spark, write(spark, tmp_path, rows)) == plain_negatives(rows)
+
+
+def test_hard_negatives_ignore_clashing_columns(spark):
+    schema = "id long, kind int, v array<long>, x string, node string, label string, score int"
+    df = spark.createDataFrame([(0, 1, [4, 0], "q", "q", "q", 0), (1, 1, [2, 0], "q", "q", "q", 0), (2, 2, [1, 5], "q", "q", "q", 0)], schema)
+    found = hard_negatives.hard_negatives(df, "id", "kind", "v", F.col("id") == 0).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, 2, 8, 4)]
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    df = spark.createDataFrame([(0, 1, [1 << 40, 0]), (1, 1, [2, 0])], "id long, kind int, v array<long>")
+    with pytest.raises(ValueError, match="64 bits"):
+        hard_negatives.hard_negatives(df, "id", "kind", "v", F.col("id") == 0)
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 14, 1 << 22])
+def test_cover_tree_finds_what_a_scan_finds(scale):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(9, 6))
+    x = np.floor(40 * scale * (centres[rng.integers(9, size=900)] + 0.1 * rng.normal(size=(900, 6)))).astype(np.int64)
+    x[5:9], x[20:40] = 0, x[0]
+    labels, ids = rng.integers(3, size=900), np.full((900, 6), ct.NO_ID)
+    ids[:, 0] = rng.permutation(900)
+    tree = ct.Tree(ct.build(x, labels, ids, np.array([f"n{i}" for i in range(900)]), math.sqrt(float((x.astype(float) ** 2).sum(axis=1).max()))))
+    assert len(tree.reach) > 10 and sorted(tree.ids[:, 0].tolist()) == list(range(900))
+    queries = np.vstack([x[::50], np.zeros((1, 6), np.int64)])
+    low, high = tree.bounds(queries)
+    for node in np.flatnonzero(tree.leaf):  # the bounds hold
+        exact = x[np.argsort(ids[:, 0])][tree.ids[tree.first[node] : tree.last[node], 0]].astype(object) @ queries.T.astype(object)
+        assert all(low[k, node] <= s <= high[k, node] for row in exact for k, s in enumerate(row))
+    for k, q in enumerate(queries):
+        exact = [int(s) for s in x.astype(object) @ q.astype(object)]
+        top = max(exact)
+        windows = [(-(1 << 62), 1 << 62), (top // 2, top * 9 // 10)]
+        for same in (True, False):
+            plain = [sorted(((s, int(i)) for s, i, l in zip(exact, ids[:, 0], labels) if (l == 1) == same and a <= s <= b), key=lambda f: (-f[0], f[1]))[:4]
+                     for a, b in windows]
+            assert tree.search(q, low[k], high[k], 1, same, ("", -1), windows, 4) == plain
