@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +48,7 @@ SHARD, BLOCK = 4096, 4096
 ANY = 1 << 62
 
 _ANCHOR = "id long, node string, label long, x array<long>, low array<long>, high array<long>"
+_NAMES = ["id", "node", "at", "score", "other"]
 _FOUND = "id long, node string, at int, score long, other long"
 
 
@@ -154,19 +154,21 @@ class Forest:
         d = self.d
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            rows: list[tuple[int, str, int, int, int]] = []
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
+            out = [pa.table([pa.array([], t) for t in kinds], _NAMES)]
             if left.num_rows and right.num_rows:
                 tree = ct.Tree(right.column("tree")[0].as_py())
-                queries = _padded(left.column("x"), d)
-                names = zip(*(left.column(c).to_pylist() for c in ("id", "node", "label", "low", "high")))
-                for at in range(0, len(queries), 256):
-                    low, high = tree.bounds(queries[at : at + 256])
-                    for k, (i, node, label, lows, highs) in enumerate(islice(names, 256)):
-                        found = tree.search(queries[at + k], low[k], high[k], label, same, (node, i), list(zip(lows, highs)), most)
-                        rows += [(i, node, w, s, other) for w, each in enumerate(found) for s, other in each]
-            columns = list(zip(*rows)) if rows else [(), (), (), (), ()]
-            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
-            return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], ["id", "node", "at", "score", "other"])
+                for at in range(0, left.num_rows, 512):
+                    part = left.slice(at, 512)
+                    low, high = (part.column(c).to_pylist() for c in ("low", "high"))
+                    windows = max(map(len, low))
+                    low = np.array([x + [ANY] * (windows - len(x)) for x in low], np.int64).reshape(len(low), windows)
+                    high = np.array([x + [-ANY] * (windows - len(x)) for x in high], np.int64).reshape(len(high), windows)
+                    names = np.array(part.column("node").to_pylist(), "U32")
+                    ids = part.column("id").to_numpy()
+                    q, w, score, other = tree.search(_padded(part.column("x"), d), part.column("label").to_numpy(), same, names, ids, low, high, most)
+                    out.append(pa.table([pa.array(c, t) for c, t in zip((ids[q], names[q], w, score, other), kinds)], _NAMES))
+            return pa.concat_tables(out)
 
         routed = anchors.mapInArrow(frugal(self._routed(home)), f"{_ANCHOR}, shards array<int>")
         dealt = routed.withColumn("shard", F.explode("shards")).drop("shards").withColumn("block", F.pmod(F.xxhash64("id", "node"), F.lit(blocks)).cast("int"))

@@ -309,25 +309,33 @@ def test_scores_beyond_64_bits_are_an_error(spark):
 
 
 @pytest.mark.parametrize("scale", [1, 1 << 14, 1 << 22])
-def test_cover_tree_finds_what_a_scan_finds(scale):
+def test_cover_tree_finds_what_a_scan_finds(scale, monkeypatch):
     rng = np.random.default_rng(12)
     centres = rng.normal(size=(9, 6))
     x = np.floor(40 * scale * (centres[rng.integers(9, size=900)] + 0.1 * rng.normal(size=(900, 6)))).astype(np.int64)
     x[5:9], x[20:40] = 0, x[0]
     labels, ids = rng.integers(3, size=900), np.full((900, 6), ct.NO_ID)
     ids[:, 0] = rng.permutation(900)
+    monkeypatch.setattr(ct, "LEAF", 16)
     tree = ct.Tree(ct.build(x, labels, ids, np.array([f"n{i}" for i in range(900)]), math.sqrt(float((x.astype(float) ** 2).sum(axis=1).max()))))
     assert len(tree.reach) > 10 and sorted(tree.ids[:, 0].tolist()) == list(range(900))
     queries = np.vstack([x[::50], np.zeros((1, 6), np.int64)])
-    low, high = tree.bounds(queries)
-    for node in np.flatnonzero(tree.leaf):  # the bounds hold
-        exact = x[np.argsort(ids[:, 0])][tree.ids[tree.first[node] : tree.last[node], 0]].astype(object) @ queries.T.astype(object)
-        assert all(low[k, node] <= s <= high[k, node] for row in exact for k, s in enumerate(row))
-    for k, q in enumerate(queries):
-        exact = [int(s) for s in x.astype(object) @ q.astype(object)]
-        top = max(exact)
-        windows = [(-(1 << 62), 1 << 62), (top // 2, top * 9 // 10)]
-        for same in (True, False):
-            plain = [sorted(((s, int(i)) for s, i, l in zip(exact, ids[:, 0], labels) if (l == 1) == same and a <= s <= b), key=lambda f: (-f[0], f[1]))[:4]
-                     for a, b in windows]
-            assert tree.search(q, low[k], high[k], 1, same, ("", -1), windows, 4) == plain
+    anything = np.full((len(queries), 1), 1 << 62)
+    leaves, low, high = tree.leaves(queries, -anything, anything)
+    assert sorted(leaves.tolist()) == np.flatnonzero(tree.leaf).tolist()
+    for k, node in enumerate(leaves):  # the bounds hold
+        exact = tree.x[tree.first[node] : tree.last[node]].astype(object) @ queries.T.astype(object)
+        assert all(low[i, k] <= s <= high[i, k] for row in exact for i, s in enumerate(row))
+    exact = queries.astype(object) @ x.T.astype(object)
+    top = [int(max(row)) for row in exact]
+    least = np.array([(-(1 << 62), t // 2, 5) for t in top])
+    largest = np.array([(1 << 62, t * 9 // 10, 4) for t in top])
+    for same in (True, False):
+        found = tree.search(queries, np.ones(len(queries), np.int64), same, np.array([""] * len(queries)), np.full(len(queries), -1), least, largest, 4)
+        plain = []
+        for i in range(len(queries)):
+            for w in range(3):
+                fits = sorted(((-int(s), int(j)) for s, j, label in zip(exact[i], ids[:, 0], labels)
+                               if (label == 1) == same and least[i, w] <= s <= largest[i, w]))
+                plain += [(i, w, -s, j) for s, j in fits[:4]]
+        assert list(zip(*(c.tolist() for c in found))) == plain
