@@ -82,3 +82,10 @@ FEATURES = [
 GBT_ROUNDS = 300
 GBT_RATE = 0.08
 GBT_DEPTH = 6
+GBT_PENALTY = 1.0
+GBT_LEAVES = 31
+GBT_LEAF_ROWS = 20
+GBT_BINS = 255
+GBT_HELD = 0.1
+GBT_HELD_ABOVE = 10_000
+GBT_PATIENCE = 10

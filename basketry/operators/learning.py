@@ -1,20 +1,17 @@
-"""Reorder-propensity models with Spark ML."""
+"""Reorder-propensity models."""
 
 from __future__ import annotations
 
 import math
 from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
 from basketry.functions.ordering import exact_rank, key_literal, keys_at_ranks
-from basketry.operators import evaluation
-from basketry.session import ensure_checkpoint_dir, materialize
+from basketry.operators import boosting, evaluation, logistic
+from basketry.session import materialize
 
 LABEL = "reordered_target"
 KEYS = ["user_id", "product_id"]
@@ -85,45 +82,31 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return per.select(label, "n_c", (total.cast("double") / (F.lit(2.0) * F.col("n_c").cast("double"))).alias("weight"))
 
 
-def assemble(df: DataFrame, features=fixed.FEATURES, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
+def fit_logistic(train_std: DataFrame, max_iter: int = 1000, features=fixed.FEATURES) -> logistic.Logistic:
+    """M4: balanced logistic regression on standardised features, with an L2 penalty of C = 1 on
+    the summed weighted log loss (weights n / (2 · n_c)).  The class counts (one row per label value)
+    are fetched once and applied as literals."""
+    weights = {r[LABEL]: r["weight"] for r in class_weights(train_std).collect()}
+    return logistic.fit(train_std, features, LABEL, weights, penalty=1.0, most=max_iter)
 
 
-def fit_logistic(train_std: DataFrame, max_iter: int = 1000):
-    """M4: balanced logistic regression on standardised features.  With weights
-    n/(2·n_c) (Σ weights = n) a regParam of 1/n gives the same optimum as an L2
-    penalty ½‖w‖² with C = 1 on the summed weighted log-loss.
+def early_stopping_rows(seed: int = fixed.SEED) -> Column:
+    """A tenth of all rows, by their key's hash: those that tell when to stop."""
+    return F.conv(F.substring(_row_hash(seed, "held"), 1, 8), 16, 10).cast("bigint") < int(fixed.GBT_HELD * (1 << 32))
 
-    The class counts (one row per label value) are fetched once and the weights
-    applied as a literal expression: no separate count job, no join.
-    """
-    per_class = class_weights(train_std).collect()
-    n = sum(r["n_c"] for r in per_class)
-    weight = None
-    for r in per_class:
-        cond = F.col(LABEL) == F.lit(r[LABEL])
-        weight = F.when(cond, F.lit(r["weight"])) if weight is None else weight.when(cond, F.lit(r["weight"]))
-    data = assemble(train_std).withColumn("weight", weight)
-    lr = LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=max_iter,
-                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False)
-    return lr.fit(data)
-
-
-def fit_gbt(train: DataFrame, rounds: int = fixed.GBT_ROUNDS, rate: float = fixed.GBT_RATE,
-            depth: int = fixed.GBT_DEPTH, seed: int = fixed.SEED):
-    """M5: gradient-boosted trees (Spark has no L2 leaf penalty; 255 bins as a histogram
-    learner would use)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=rate,
-                        maxDepth=depth, maxBins=255, seed=seed)
-    ensure_checkpoint_dir(train.sparkSession)  # cuts the lineage of the rounds
-    return gbt.fit(assemble(train))
+
+def fit_gbt(train: DataFrame, rounds: int = fixed.GBT_ROUNDS, rate: float = fixed.GBT_RATE, depth: int = fixed.GBT_DEPTH,
+            seed: int = fixed.SEED, features=fixed.FEATURES) -> boosting.Boosted:
+    """M5: gradient-boosted histogram trees with an L2 leaf penalty; training sets of more than
+    ``GBT_HELD_ABOVE`` rows hold some of them back and stop early."""
+    rules = boosting.Rules(depth=depth, rate=rate, leaves=fixed.GBT_LEAVES, penalty=fixed.GBT_PENALTY, least_rows=fixed.GBT_LEAF_ROWS)
+    held = early_stopping_rows(seed) if train.count() > fixed.GBT_HELD_ABOVE else None
+    return boosting.fit(train, features, LABEL, rounds, rules, fixed.GBT_BINS, held, fixed.GBT_PATIENCE)
 
 
 def predict_proba(model, df: DataFrame, out: str = "reorder_proba") -> DataFrame:
     """M6: positive-class probability."""
-    scored = model.transform(assemble(df))
-    return scored.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction",
-                                                                        "probability", "prediction")
+    return df.withColumn(out, model.probability())
 
 
 def metric_row(model_name: str, scored: DataFrame, score: str = "reorder_proba") -> DataFrame:

@@ -2,8 +2,9 @@
 
 Only the three tables that later steps re-read are written as Parquet (orders_clean,
 reorder_features, reorder_predictions); everything else stays a lazy plan over them
-until its own extract is written.  Every write overwrites (drop + recreate), so a rerun
-replaces the previous output.
+until its own extract is written.  A rerun replaces each table in one step (``sources.tables``):
+until a table's new version is complete, readers get the old one.  With a ``database``, the
+tables are in the catalog too, for SQL by name.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import fixed
 from basketry.operators import clean, dashboard, extracts, features, learning, quality, rfm
-from basketry.sources import files
+from basketry.sources import catalog, files, tables
 from basketry.sources.panel import Panel
 from basketry.session import materialize
 
@@ -32,47 +33,48 @@ def typed_orders_clean(oc: DataFrame) -> DataFrame:
 
 
 def write_all(spark: SparkSession, panel: Panel, out_dir: str, gbt_rounds: int = fixed.GBT_ROUNDS,
-              check_keys: bool = True) -> dict[str, int]:
+              check_keys: bool = True, database: str | None = None) -> dict[str, int]:
     """Write the data-quality report, the three tables, the model outputs and the five
     extracts under ``out_dir``; return the row counts of the written tables."""
     p = lambda *parts: os.path.join(out_dir, *parts)
     counts: dict[str, int] = {}
+
+    def write(df: DataFrame, name: str, cluster_by: list[str] | None = None) -> DataFrame:
+        counts[name] = files.write_table(df, p("tables", name), cluster_by=cluster_by)
+        if database:
+            catalog.save_table(tables.read_table(spark, p("tables", name)), f"{database}.{name}")
+        return tables.read_table(spark, p("tables", name))
+
     # load: the derived base tables are written once and every later step reads them
-    for name in ("orders", "order_products", "order_products_raw"):
-        counts[name] = files.write_table(getattr(panel, name), p("tables", name))
-    panel = Panel(orders=spark.read.parquet(p("tables", "orders")),
-                  order_products=spark.read.parquet(p("tables", "order_products")),
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    panel = Panel(orders=write(panel.orders, "orders"), order_products=write(panel.order_products, "order_products"),
                   products=panel.products, departments=panel.departments, aisles=panel.aisles,
                   product_prices=panel.product_prices,
-                  order_products_raw=spark.read.parquet(p("tables", "order_products_raw")))
-    tables = {"departments": panel.departments, "aisles": panel.aisles, "products": panel.products,
+                  order_products_raw=write(panel.order_products_raw, "order_products_raw"))
+    loaded = {"departments": panel.departments, "aisles": panel.aisles, "products": panel.products,
               "product_prices": panel.product_prices, "orders": panel.orders,
               "order_products": panel.order_products_raw}
     if check_keys:
-        quality.assert_constraints(quality.constraint_violations(tables))
+        quality.assert_constraints(quality.constraint_violations(loaded))
     files.write_json_document(quality.quality_report_json(panel.orders, panel.order_products_raw, panel.products,
                                                           panel.product_prices), p("data_quality_report"))
 
     oc = typed_orders_clean(clean.orders_clean(panel.orders, panel.order_products, panel.product_prices))
-    counts["orders_clean"] = files.write_table(oc, p("tables", "orders_clean"), sort_by=["user_id", "order_number"])
-    oc = spark.read.parquet(p("tables", "orders_clean"))
+    oc = write(oc, "orders_clean", cluster_by=["user_id", "order_number"])
 
     seg = rfm.rfm_segments(oc, with_cell=True)
-    counts["rfm_segments"] = files.write_table(seg.drop("rfm_cell"), p("tables", "rfm_segments"))
-    seg = spark.read.parquet(p("tables", "rfm_segments"))
-    files.write_csv(spark.read.parquet(p("tables", "rfm_segments")).withColumn(
+    seg = write(seg.drop("rfm_cell"), "rfm_segments")
+    files.write_csv(seg.withColumn(
         "rfm_cell", F.concat(F.col("R").cast("string"), F.col("F").cast("string"))),
         p("extracts", "rfm_segments"), single_file=False)
 
     feats = features.reorder_features(panel.orders, panel.order_products, oc)
-    counts["reorder_features"] = files.write_table(feats, p("tables", "reorder_features"))
-    feats = spark.read.parquet(p("tables", "reorder_features"))
+    feats = write(feats, "reorder_features")
     split = materialize(learning.stratified_split(feats))  # read by stats, both fits and both scorings
     metrics, _, gbt, _ = learning.model_comparison(split, gbt_rounds=gbt_rounds)
     files.write_csv(metrics, p("model_metrics"), order_by=["model"])
-    preds = learning.reorder_predictions(gbt, feats)
-    counts["reorder_predictions"] = files.write_table(preds, p("tables", "reorder_predictions"))
-    preds = spark.read.parquet(p("tables", "reorder_predictions"))
+    preds = write(learning.reorder_predictions(gbt, feats), "reorder_predictions")
     files.write_csv(preds, p("extracts", "reorder_predictions"), single_file=False)
 
     summary = extracts.segment_summary(seg)

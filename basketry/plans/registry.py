@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators import clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
+from basketry.functions import fixed
+from basketry.operators import boosting, clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
 from basketry.session import materialize, write_table
 from basketry.sources import files, prices as price_src, star
 from basketry.sources.events import events_panel
@@ -436,6 +437,15 @@ def q_gbt_scores(spark, sf):
     return _test(_fitted(spark, sf).scored).select(*_SCORES)
 
 
+@query("gbt_first_tree")
+def q_gbt_first_tree(spark, sf):
+    """The first tree of depth 2, without rows held back."""
+    train = _model_split(spark, sf)[2].where(F.col("split") == "train")
+    model = boosting.fit(train, fixed.FEATURES, learning.LABEL, rounds=1, rules=boosting.Rules(depth=2))
+    rows = spark.createDataFrame(model.tree_rows(0) if model.trees else [], "node int, feature string, threshold double, gain double, rows long, value double")
+    return rows.select("node", "feature", F.round("threshold", 6).alias("threshold"), F.round("gain", 4).alias("gain"), "rows", F.round("value", 7).alias("value"))
+
+
 @query("model_comparison")
 def q_model_comparison(spark, sf):
     m = _fitted(spark, sf)

@@ -1,7 +1,7 @@
 """Market-basket CSV sources and the engine's sinks.
 
 Sources read headered CSV with fixed schemas (never inferred).  Sinks write Parquet
-tables (overwrite = drop + recreate) and headered CSV extracts.
+tables (replaced in one step, see ``tables``) and headered CSV extracts.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.sources import tables
 from basketry.sources.panel import Panel
 from basketry.sources.prices import ensure_prices
 
@@ -78,16 +79,12 @@ def read_panel(spark: SparkSession, raw_dir: str) -> Panel:
 
 # --- sinks --------------------------------------------------------------------------
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", sort_by: list[str] | None = None,
-                partition_by: list[str] | None = None) -> int:
-    """Write a Parquet table (overwrite = drop + recreate, or append) and
-    return its row count, read back from the written files rather than recomputed."""
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    w = out.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", cluster_by: list[str] | None = None) -> int:
+    """Replace a table (or append to it) in one step and return its row count,
+    taken by the job that wrote it; ``tables.read_table`` reads it."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    return tables.write_table(df, path, append=mode == "append", cluster_by=cluster_by or ())["rows"]
 
 
 def write_csv(df: DataFrame, path: str, order_by: list | None = None, single_file: bool = True) -> None:

@@ -54,8 +54,8 @@ def test_sinks_round_trip(spark, tmp_path):
     p = files.read_panel(spark, _raw_dir(tmp_path, True, False))
     oc = clean.orders_clean(p.orders, p.order_products, p.product_prices)
     out = str(tmp_path / "orders_clean")
-    assert files.write_table(oc, out, sort_by=["user_id", "order_number"]) == 2
-    assert files.write_table(oc, out) == 2  # overwrite = drop + recreate
+    assert files.write_table(oc, out, cluster_by=["user_id", "order_number"]) == 2
+    assert files.write_table(oc, out) == 2  # replaced
     assert files.write_table(oc, out, mode="append") == 4
     csv = str(tmp_path / "extract")
     files.write_csv(oc.select("order_id", "order_value"), csv, order_by=["order_id"])
