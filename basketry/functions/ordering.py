@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 _UNB = Window.unboundedPreceding
 
 # Sampled keys for each range; the driver receives about this times the number of ranges.
-KEYS_PER_RANGE = 16
+KEYS_PER_RANGE = 48
+# A range is meant to hold so many rows, unless there are fewer ranges than shuffle partitions.
+ROWS_PER_RANGE = 1 << 20
 
 
 def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
@@ -67,22 +69,61 @@ def sequence_in_group(df: DataFrame, keys: list[str], bucket: str, order: list,
             .drop("_before"))
 
 
+def sequence_in_tree(df: DataFrame, keys: list[str], levels: list[str], order: list, out: str = "seq",
+                     prev_bucket: str | None = None, group_size: str | None = None) -> DataFrame:
+    """``sequence_in_group`` for keys of which one bucket may still hold very many rows.
+
+    ``levels`` are columns that nest and are monotone in the order: days, then the seconds of a day,
+    ...  Rows are counted per deepest chunk; counts are added up level by level to the first, and
+    prefix sums go down again, each in windows over the children of one chunk.  With levels
+    of bounded numbers of children no window holds more than these, or one deepest chunk's rows.
+    ``prev_bucket`` is the key's previous value of the first level, ``group_size`` its rows.
+    """
+    counts = [df.groupBy(*keys, *levels).agg(F.count(F.lit(1)).alias("_n"))]
+    for depth in range(len(levels) - 1, 0, -1):
+        counts.insert(0, counts[0].groupBy(*keys, *levels[:depth]).agg(F.sum("_n").alias("_n")))
+    offsets = None
+    for depth, table in enumerate(counts):
+        above = [*keys, *levels[:depth]]
+        siblings = Window.partitionBy(*above).orderBy(levels[depth])
+        inside = F.coalesce(F.sum("_n").over(siblings.rowsBetween(_UNB, -1)), F.lit(0))
+        if offsets is None:
+            cols = [*above, levels[depth], inside.alias("_before")]
+            if prev_bucket:
+                cols.append(F.lag(levels[depth]).over(siblings).alias(prev_bucket))
+            if group_size:
+                cols.append(F.sum("_n").over(Window.partitionBy(*keys)).cast("int").alias(group_size))
+            offsets = table.select(*cols)
+            carried = [c for c in (prev_bucket, group_size) if c]
+        else:
+            placed = table.select(*above, levels[depth], inside.alias("_inside"))
+            offsets = placed.join(offsets, above).select(
+                *above, levels[depth], (F.col("_before") + F.col("_inside")).alias("_before"), *carried)
+    chunk = Window.partitionBy(*keys, *levels).orderBy(*order)
+    ranked = df.withColumn("_rn_in_chunk", F.row_number().over(chunk))
+    return (ranked.join(offsets, [*keys, *levels]).withColumn(out, (F.col("_before") + F.col("_rn_in_chunk")).cast("int"))
+            .drop("_before"))
+
+
 def _key_struct(cols: list[Column]) -> Column:
     return F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(cols)])
 
 
-def _boundaries(df: DataFrame, order: list[Column], n_ranges: int) -> list[tuple]:
-    """At most ``n_ranges - 1`` ascending split points of the sort key.
+def _boundaries(df: DataFrame, order: list[Column], n_ranges: int | None) -> list[tuple]:
+    """At most ``n_ranges - 1`` ascending split points of the sort key; without ``n_ranges``, one
+    range for each shuffle partition or for each ``ROWS_PER_RANGE`` rows, whichever are more.
 
     The sampled rows are those whose key hash is below a threshold set from the row count,
     so every task returns only wanted rows and the sample depends on the data alone, not on
     partitioning, row order or retries.  The ranks built on the ranges are exact whatever
     the split points are; the sample only balances them.
     """
+    keys = df.select(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
+    rows = keys.count() if n_ranges != 1 else 0
+    n_ranges = n_ranges or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
     if n_ranges <= 1:
         return []
-    keys = df.select(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
-    share = min(1.0, KEYS_PER_RANGE * n_ranges / max(1, keys.count()))
+    share = min(1.0, KEYS_PER_RANGE * n_ranges / max(1, rows))
     h = F.pmod(F.xxhash64(*keys.columns), F.lit(1 << 30))
     sample = sorted(tuple(r) for r in keys.where(h < int(share * (1 << 30))).collect())
     cuts: list[tuple] = []
@@ -116,10 +157,9 @@ def _bucket_of(key: Column, cuts: list[tuple], types) -> Column:
 
 def _ranged(df: DataFrame, order: list, n_ranges: int | None) -> tuple[DataFrame, list[Column]]:
     """The rows with their range of the order in ``_range``, and the order as columns."""
-    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     types = [f.dataType for f in df.select(*order).schema.fields]
-    return df.withColumn("_range", _bucket_of(_key_struct(order), _boundaries(df, order, n), types)), order
+    return df.withColumn("_range", _bucket_of(_key_struct(order), _boundaries(df, order, n_ranges), types)), order
 
 
 def keys_at_ranks(df: DataFrame, order: list, ranks: list[int], n_ranges: int | None = None) -> list[tuple]:

@@ -58,8 +58,8 @@ def fit(train: DataFrame, features: Sequence[str], label: str, weights: Mapping[
         most: int = 1000, tolerance: float = 1e-12) -> Logistic:
     """The optimum for 0/1 labels; ``weights`` has each class's weight.
 
-    Ends when a step would lower the objective by less than ``tolerance`` of it, or after ``most``
-    steps.  A step that raises the objective is halved.  Null features count as 0, rows with a
+    Ends when a step would lower the objective by less than ``tolerance`` of what it was without
+    coefficients (that last step is taken), or after ``most`` steps.  A step that raises the objective is halved.  Null features count as 0, rows with a
     null label are left out; without rows all coefficients are 0.
     """
     spark, features = train.sparkSession, list(features)
@@ -82,14 +82,15 @@ def fit(train: DataFrame, features: Sequence[str], label: str, weights: Mapping[
 
     beta, steps = np.zeros(k), 0
     value, gradient, hessian = at(beta)
+    enough = tolerance * value
     while steps < most:
         step = np.linalg.lstsq(hessian, gradient, rcond=None)[0]
-        if gradient @ step / 2 <= tolerance * max(value, 1e-300):
+        if gradient @ step / 2 <= enough:
             beta = beta - step
             break
         share = 1.0
         new = at(beta - step)
-        while new[0] > value and share > 1e-6:
+        while new[0] > value + enough and share > 1e-6:
             share /= 2
             new = at(beta - share * step)
         beta, steps = beta - share * step, steps + 1

@@ -45,20 +45,20 @@ def write_all(spark: SparkSession, panel: Panel, out_dir: str, gbt_rounds: int =
             catalog.save_table(tables.read_table(spark, p("tables", name)), f"{database}.{name}")
         return tables.read_table(spark, p("tables", name))
 
-    # load: the derived base tables are written once and every later step reads them
+    # load: the base tables are written once, checked on the way, and every later step reads them
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    panel = Panel(orders=write(panel.orders, "orders"), order_products=write(panel.order_products, "order_products"),
-                  products=panel.products, departments=panel.departments, aisles=panel.aisles,
-                  product_prices=panel.product_prices,
-                  order_products_raw=write(panel.order_products_raw, "order_products_raw"))
-    loaded = {"departments": panel.departments, "aisles": panel.aisles, "products": panel.products,
-              "product_prices": panel.product_prices, "orders": panel.orders,
-              "order_products": panel.order_products_raw}
+    frames = {n: getattr(panel, n) for n in ("orders", "order_products", "products", "departments", "aisles", "product_prices")}
+    loaded, seen = quality.load_tables({**frames, "order_products_raw": panel.order_products_raw}, p("tables"))
+    counts.update({name: checks["rows"] for name, checks in seen.items()})
+    panel = Panel(**loaded)
+    if database:
+        for name, df in loaded.items():
+            catalog.save_table(df, f"{database}.{name}")
     if check_keys:
-        quality.assert_constraints(quality.constraint_violations(loaded))
-    files.write_json_document(quality.quality_report_json(panel.orders, panel.order_products_raw, panel.products,
-                                                          panel.product_prices), p("data_quality_report"))
+        quality.assert_constraints(quality.constraint_violations({**loaded, "order_products": panel.order_products_raw}))
+    files.write_json_document(quality.quality_report_json(panel.orders, panel.order_products_raw, panel.products, panel.product_prices, {
+        **seen, "order_products": seen["order_products_raw"]}), p("data_quality_report"))
 
     oc = typed_orders_clean(clean.orders_clean(panel.orders, panel.order_products, panel.product_prices))
     oc = write(oc, "orders_clean", cluster_by=["user_id", "order_number"])

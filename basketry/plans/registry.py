@@ -8,15 +8,18 @@ as doubles at this edge only (the engine keeps them exact inside).
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
 from basketry.operators import boosting, clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
-from basketry.session import materialize, write_table
-from basketry.sources import files, prices as price_src, star
+from basketry.plans import batch
+from basketry.session import materialize, shared_dir, write_table
+from basketry.sources import files, prices as price_src, star, tables
 from basketry.sources.events import events_panel
 from basketry.sources.panel import Panel
 from basketry.sources.star import star_panel
@@ -643,3 +646,97 @@ def q_events_roc_auc(spark, sf):
 def q_dq_report_json(spark, sf):
     t = _raw_tables(_panel(spark, sf))
     return quality.quality_report_json(t["orders"], t["order_products"], t["products"], t["product_prices"])
+
+
+@query("dq_load_checks")
+def q_dq_load_checks(spark, sf):
+    """The checks that the write of each base table takes in passing."""
+    p = _panel(spark, sf)
+    frames = {"orders": p.orders, "order_products": p.order_products_raw, "products": p.products, "product_prices": p.product_prices}
+    return quality.checks_table(spark, quality.load_tables(frames, f"{shared_dir(spark)}/tables/load-{uuid.uuid4().hex}")[1])
+
+
+@query("orders_clean_sorted")
+def q_orders_clean_sorted(spark, sf):
+    """The typed orders_clean as a clustered table: its rows, the places where they don't ascend, its types."""
+    p = _panel(spark, sf)
+    path = f"{shared_dir(spark)}/tables/orders-clean-{uuid.uuid4().hex}"
+    files.write_table(batch.typed_orders_clean(clean.orders_clean(p.orders, p.order_products, p.product_prices)), path,
+                      cluster_by=["user_id", "order_number"])
+    types = ", ".join(f"{c} {t}" for c, t in tables.read_table(spark, path).dtypes)
+    return tables.order_breaks(spark, path, ["user_id", "order_number"]).withColumn("types", F.lit(types))
+
+
+# --- model outputs from fixed scores: the same operators, with values that SQL can check -----
+
+class _FixedScore:
+    """A model whose probability is a column of the features."""
+
+    def __init__(self, column: str):
+        self.column = column
+
+    def probability(self):
+        return F.col(self.column).cast("double")
+
+
+def _fixed_metrics(features_df: DataFrame) -> DataFrame:
+    rows = [learning.metric_row(name, learning.predict_proba(_FixedScore(column), features_df).select("reordered_target", "reorder_proba"))
+            for name, column in (("LogisticRegression", "p_reorder_rate"), ("GradientBoosting", DET_SCORE))]
+    return rows[0].unionByName(rows[1])
+
+
+def _family(spark, sf):
+    p, oc, f = _features(spark, sf, "family")
+    return p, oc, materialize(f)
+
+
+@query("fixed_model_comparison")
+def q_fixed_model_comparison(spark, sf):
+    return _fixed_metrics(_family(spark, sf)[2])
+
+
+@query("fixed_predictions")
+def q_fixed_predictions(spark, sf):
+    return learning.reorder_predictions(_FixedScore(DET_SCORE), _family(spark, sf)[2])
+
+
+@query("fixed_scorecard")
+def q_fixed_scorecard(spark, sf):
+    f = _family(spark, sf)[2]
+    card = dashboard.scorecard(_fixed_metrics(f), features.base_rate(f))
+    return card.withColumn("base_rate", F.round("base_rate", 10))
+
+
+@query("fixed_kpis")
+def q_fixed_kpis(spark, sf):
+    _, oc, f = _family(spark, sf)
+    return dashboard.kpis_with_model(dashboard.dashboard_kpis(extracts.segment_summary(rfm.rfm_segments(oc))), _fixed_metrics(f))
+
+
+_PAYLOAD = """kpis struct<customers:double,revenue:double,champions:double,at_risk:double,auc:double,pr_auc:double>,
+ segments array<struct<segment:string,customers:double,total_monetary:double>>,
+ departments array<struct<department:string,line_items:double,reorder_rate:double>>,
+ opportunity array<struct<department:string,predicted_candidates:double,avg_reorder_proba:double>>,
+ products array<struct<product_name:string,reorder_rate:double,times_purchased:double>>"""
+
+
+@query("fixed_payload")
+def q_fixed_payload(spark, sf):
+    """The payload's lists in order and its numbers, read back from the JSON document."""
+    p, oc, f = _family(spark, sf)
+    preds = learning.reorder_predictions(_FixedScore(DET_SCORE), f)
+    doc = dashboard.dashboard_payload(
+        materialize(extracts.segment_summary(rfm.rfm_segments(oc))),
+        extracts.department_loyalty(p.order_products, p.orders, p.products, p.departments),
+        extracts.department_opportunity(preds, p.products, p.departments),
+        extracts.product_loyalty(p.order_products, p.orders, p.products, p.departments), _fixed_metrics(f))
+    parsed = materialize(doc).select(F.from_json("payload", _PAYLOAD).alias("d")).select("d.*")
+    numbers = F.array(*[F.struct(F.lit(k).alias("name"), F.col(f"kpis.{k}").alias("x"), F.lit(0.0).alias("y"))
+                        for k in ("customers", "revenue", "champions", "at_risk", "auc", "pr_auc")])
+    parts = [parsed.select(F.lit("kpis").alias("part"), F.lit(0).alias("pos"), F.explode(numbers).alias("e")).select("part", "pos", "e.*")]
+    for part, columns in (("segments", ("segment", "customers", "total_monetary")), ("departments", ("department", "line_items", "reorder_rate")),
+                          ("opportunity", ("department", "predicted_candidates", "avg_reorder_proba")),
+                          ("products", ("product_name", "reorder_rate", "times_purchased"))):
+        parts.append(parsed.select(F.posexplode(part).alias("pos", "e")).select(
+            F.lit(part).alias("part"), "pos", *[F.col(f"e.{c}").alias(a) for c, a in zip(columns, ("name", "x", "y"))]))
+    return reduce(DataFrame.unionByName, parts)

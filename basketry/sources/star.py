@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
-from basketry.functions.ordering import sequence_in_group
+from basketry.functions.ordering import sequence_in_group, sequence_in_tree
 from basketry.sources.panel import Panel
 
 # Lines are windowed per (order, line-number chunk); one chunk spans this many line
@@ -35,15 +35,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Orders of one user on one day beyond which a day is cut further.
+HOT_DAY = 1 << 20
+
+
+def _hot_day(orders: DataFrame) -> bool:
+    """Whether some user has more than ``HOT_DAY`` orders on a day; days are only counted where
+    there are more orders than that at all."""
+    if orders.count() <= HOT_DAY:
+        return False
+    per_day = orders.groupBy("user_id", F.to_date("ts")).agg(F.count(F.lit(1)).alias("n"))
+    return (per_day.agg(F.max("n")).first()[0] or 0) > HOT_DAY
+
+
+def _day_levels(orders: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Nested chunks of the order (ts, order_id): days, seconds of a day, microseconds of a second,
+    and four times 16 bits of the id, so that no chunk has more than a million children."""
+    ts, at = F.unix_micros("ts"), F.col("order_id").cast("bigint")
+    bits = {f"_id{k}": F.shiftright(at, k) for k in (48, 32, 16)}
+    chunks = {"_day": F.to_date("ts"), "_second": F.call_function("div", ts, F.lit(1_000_000)), "_micro": ts, **bits}
+    return orders.withColumns(chunks), list(chunks)
+
+
 def sequence_orders(orders: DataFrame) -> DataFrame:
     """P1–P4 on (order_id, user_id, ts) → the ``orders`` table of the panel.
 
     The per-user sequence is computed per (user, day) chunk, so a user holding a large
-    share of all orders is spread over one window per active day.
+    share of all orders is spread over one window per active day.  Where one day of a user is
+    too large for that, days are cut into a tree of chunks (``sequence_in_tree``).
     """
-    o = orders.withColumn("_day", F.to_date("ts"))
-    o = sequence_in_group(o, ["user_id"], "_day", ["ts", "order_id"], out="order_number",
-                          prev_bucket="_prev_day", group_size="_n_orders")
+    wanted = {"out": "order_number", "prev_bucket": "_prev_day", "group_size": "_n_orders"}
+    if _hot_day(orders):
+        o, levels = _day_levels(orders)
+        o = sequence_in_tree(o, ["user_id"], levels, ["ts", "order_id"], **wanted)
+        # the first order of a day: no order of the day comes before it
+        first = o.groupBy("user_id", "_day").agg(F.min("order_number").alias("_first"))
+        o = o.join(first, ["user_id", "_day"]).withColumn("_rn_in_chunk", F.col("order_number") - F.col("_first") + 1)
+    else:
+        o = orders.withColumn("_day", F.to_date("ts"))
+        o = sequence_in_group(o, ["user_id"], "_day", ["ts", "order_id"], **wanted)
     gap = F.when(F.col("_rn_in_chunk") == 1, F.datediff("_day", "_prev_day")).otherwise(F.lit(0))
     return o.select(
         "order_id", "user_id",

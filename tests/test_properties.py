@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketry.functions import fixed
+from basketry.functions import fixed, ordering
 from basketry.functions.ordering import exact_median, exact_rank, ordered_prefix, sequence_in_group
 from basketry.operators import evaluation, learning, rfm
+from basketry.sources import star
 
 
 def _ties_frame(spark, n, seed=7, distinct=5):
@@ -153,7 +154,6 @@ def test_stratified_split_exact_and_stable(spark):
 
 @pytest.mark.parametrize("ranges", [1, 4, 300])
 def test_exact_rank_with_any_number_of_ranges(spark, ranges):
-    from basketry.functions import ordering
     df = _ties_frame(spark, 3000, distinct=3)
     got = ordering.exact_rank(df, ["x", "user_id"], out="r", n_ranges=ranges)
     ref = df.withColumn("r2", F.row_number().over(Window.orderBy("x", "user_id")))
@@ -167,7 +167,6 @@ def test_exact_rank_with_any_number_of_ranges(spark, ranges):
 
 
 def test_sampled_keys_are_few_however_many_tasks(spark):
-    from basketry.functions import ordering
     df = spark.range(0, 200_000, 1, 64).select((F.col("id") % 1000).alias("x"), F.col("id").alias("user_id"))
     cuts = ordering._boundaries(df, [F.col("x"), F.col("user_id")], 64)
     share = ordering.KEYS_PER_RANGE * 64 / 200_000
@@ -200,3 +199,44 @@ def test_sequence_of_a_group_spread_over_many_buckets(spark):
     ref = df.withColumn("n2", F.row_number().over(Window.partitionBy("order_id").orderBy("line")))
     j = got.join(ref, ["order_id", "line"])
     assert j.count() == len(rows) and j.where(F.col("n") != F.col("n2")).count() == 0
+
+
+def _days_of_a_hot_user(spark, n=6000):
+    """A third of all orders are one user's on one day, many of them in one second and some at one time."""
+    day = 86_400_000_000
+    at = (F.when(F.col("id") % 3 == 0, F.col("id") % 7 * 1_000_000 + F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 11))
+          .otherwise(F.pmod(F.xxhash64("id"), F.lit(40)) * day))
+    return spark.range(n).select((F.col("id") * 70_001 - 90_000_000).alias("order_id"),
+                                 F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2).alias("user_id"),
+                                 F.timestamp_micros(at.cast("bigint")).alias("ts"))
+
+
+def test_hot_day_is_sequenced_in_a_tree_of_chunks(spark, monkeypatch):
+    df = _days_of_a_hot_user(spark)
+    plain = sorted((tuple(r) for r in star.sequence_orders(df).collect()), key=str)
+    monkeypatch.setattr(star, "HOT_DAY", 100)
+    made = star.sequence_orders(df)
+    assert sorted((tuple(r) for r in made.collect()), key=str) == plain
+    w = Window.partitionBy("user_id").orderBy("ts", "order_id")
+    numbers = {r.order_id: r.n for r in df.select("order_id", F.row_number().over(w).alias("n")).collect()}
+    assert {r[0]: r[3] for r in plain} == numbers
+    # no window is over more than the children of a chunk: keys, then levels
+    levels, _ = star._day_levels(df)
+    for depth in range(1, 6):
+        above = ["user_id", "_day", "_second", "_micro", "_id48", "_id32", "_id16"][: depth + 1]
+        below = ["user_id", "_day", "_second", "_micro", "_id48", "_id32", "_id16"][depth + 1]
+        most = levels.groupBy(*above).agg(F.countDistinct(below).alias("n")).agg(F.max("n")).first()[0]
+        assert most <= (1_000_000 if below == "_micro" else 86_400)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) >= 7 and not any("row_number" in w and "_id16" not in w for w in windows)
+
+
+def test_ranges_follow_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 20_000)
+    df = spark.range(1_000_000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x"), "id")
+    ranged, _ = ordering._ranged(df, ["x", "id"], None)
+    sizes = [r["count"] for r in ranged.groupBy("_range").count().collect()]
+    assert len(sizes) == 50 and max(sizes) <= 2 * 20_000
+    got = ordering.exact_rank(df.where("id < 30000"), ["x", "id"], out="r").agg(F.min("r"), F.max("r"), F.countDistinct("r")).first()
+    assert tuple(got) == (1, 30_000, 30_000)
