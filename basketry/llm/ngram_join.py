@@ -16,8 +16,8 @@ word n-grams reaches a threshold, and returns every document with its component.
    orders permute by other hashes, and a pair must share a prefix n-gram under each of them.
 4. *Verification* by the exact size of the intersection.  First every node of an n-gram's
    list is paired with the list's most central node only; the links found make components, and
-   then only pairs across components are tried, exhaustively.  Pairs inside a component cannot
-   change the result, so groups of copies cost about a pair per member.
+   then only pairs across components are tried, exhaustively (``across``).  Pairs inside a component
+   cannot change the result, so groups of copies cost about a pair per member.
 
 Hashes of n-grams have 56 bits, node names 64: two different ones are taken for equal with a
 probability of 2**-56 and 2**-64 a pair.
@@ -25,7 +25,9 @@ probability of 2**-56 and 2**-64 a pair.
 Defined cases: null, empty and blank texts have no n-gram and link with nothing; a text of
 fewer than n words is one n-gram of all its words; repeated rows each get a row of the result
 and share a component when their texts have equal sets; rows that share a doc_id but not the
-text are sets of their own; extra columns are ignored; an empty table gives an empty result.
+text are sets of their own; a row without a doc_id keeps its null, and a component's id is the
+least one that is not null (null if none has one); extra columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components
@@ -128,10 +130,12 @@ def gram_sets(row: np.ndarray, word: np.ndarray, rows: int, size: int) -> tuple[
     return gram, at, n, mix(name + n.astype(np.uint64))
 
 
-def _pack_block(ids: list[np.ndarray], row: np.ndarray, word: np.ndarray, size: int, buckets: int, block: int) -> pa.RecordBatch:
-    doc = np.concatenate(ids)
+def _pack_block(ids: list[pa.Array], row: np.ndarray, word: np.ndarray, size: int, buckets: int, block: int) -> pa.RecordBatch:
+    named = pa.concat_arrays(ids)
+    doc = named.fill_null(0).to_numpy(zero_copy_only=False)
     gram, at, n, node = gram_sets(row, word, len(doc), size)
-    out = [(_DOCS, block % buckets, _pack(doc.astype("<i8").view("<u8"), node, n))]
+    known = named.is_valid().to_numpy(zero_copy_only=False)
+    out = [(_DOCS, block % buckets, _pack(doc.astype("<i8").view("<u8"), node, n, known))]
     _, first = np.unique(np.stack([node, n.astype(np.uint64)]), axis=1, return_index=True) if len(doc) < 2 else \
         _first_of(node, n)
     keep = np.zeros(len(doc), bool)
@@ -190,7 +194,7 @@ def _to_blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        ids: list[np.ndarray] = []
+        ids: list[pa.Array] = []
         rows: list[np.ndarray] = []
         words: list[np.ndarray] = []
         docs = held = block = 0
@@ -199,7 +203,7 @@ def _to_blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]],
             while at < whole.num_rows:  # a few hundred rows at a time, to stop near BLOCK
                 batch = whole.slice(at, 256)
                 at += 256
-                ids.append(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64))
+                ids.append(batch.column(0).cast(pa.int64()))
                 for row, word in word_hashes(batch.column(1)):
                     rows.append(row + docs)
                     words.append(word)
@@ -281,14 +285,14 @@ def _passed(held: list[tuple[int, bytes]], buckets: int) -> Iterator[tuple[int,
             yield kind, int(_node_bucket(_entries(data)[1][:1], buckets)[0]), data
 
 
-def _sets_batch(doc: np.ndarray | None, node: np.ndarray, n: np.ndarray, grams: list[np.ndarray] | None) -> pa.RecordBatch:
+def _sets_batch(doc: pa.Array | None, node: np.ndarray, n: np.ndarray, grams: list[np.ndarray] | None) -> pa.RecordBatch:
     none = pa.nulls(len(node))
     if grams is not None:
         cut = np.concatenate([[0], np.cumsum([len(g) for g in grams])]).astype(np.int32)
         values = np.concatenate(grams).view(np.int64) if grams else np.zeros(0, np.int64)
         arrays = pa.ListArray.from_arrays(pa.array(cut), pa.array(values))
     return pa.RecordBatch.from_arrays([
-        none.cast(pa.int64()) if doc is None else pa.array(doc.view(np.int64)), pa.array(node.view(np.int64)),
+        none.cast(pa.int64()) if doc is None else doc, pa.array(node.view(np.int64)),
         pa.array(n.astype(np.int64)), none.cast(pa.list_(pa.int64())) if grams is None else arrays], ["doc_id", "node", "n", "grams"])
 
 
@@ -300,8 +304,8 @@ def _gather(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             nodes, grams = [], []
             for kind, data in held:
                 if kind == _DOCS:
-                    doc, node, n = _unpack(data)
-                    yield _sets_batch(doc, node, n, None)
+                    doc, node, n, known = _unpack(data)
+                    yield _sets_batch(pa.array(doc.view(np.int64), mask=known == 0), node, n, None)
                 elif kind == _NODES:
                     nodes.append(_unpack(data))
                 else:
@@ -342,7 +346,8 @@ def gram_nodes(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _ordered(nodes: DataFrame, percent: int) -> DataFrame:
-    """Nodes with their shared n-grams, rarest first, and the prefixes under the other orders.
+    """Nodes with their shared n-grams, rarest first, and the power of two of each one's number
+    of nodes.
 
     ``single`` is the number of n-grams that no other remaining node has; they come first in
     every order.  ``reach`` is the length of a prefix: n - ceil(percent * n / 100) + 1.
@@ -350,18 +355,20 @@ def _ordered(nodes: DataFrame, percent: int) -> DataFrame:
     grams = nodes.select("node", "n", F.explode("grams").alias("gram"))
     held = grams.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1")
     known = grams.join(held, "gram").select(
-        "node", "n", F.struct(F.floor(F.log2("held")).cast("int").alias("c"), "gram").alias("g"))
+        "node", "n", F.struct(F.floor(F.log2("held")).cast("tinyint").alias("c"), "gram").alias("g"))
     sets = known.groupBy("node", "n").agg(F.sort_array(F.collect_list("g")).alias("g"))
     need = F.ceil(F.col("n") * percent / 100).cast("long")
     sets = sets.select("node", "n", "g", (F.col("n") - F.size("g")).alias("single"), (F.col("n") - need + 1).alias("reach"))
     sets = sets.where(F.col("single") < F.col("reach"))
-    left = (F.col("reach") - F.col("single")).cast("int")
+    return sets.select("node", "n", "single", "reach", F.col("g")["gram"].alias("grams"), F.col("g")["c"].alias("classes"))
 
-    def prefix(k: int):
-        keyed = F.transform("g", lambda x: F.struct(x["c"].alias("c"), F.xxhash64(x["gram"], F.lit(k)).alias("h"), x["gram"].alias("gram")))
-        return F.slice(F.sort_array(keyed), F.lit(1), left)["gram"].alias(f"prefix{k}")
 
-    return sets.select("node", "n", "single", "reach", F.col("g")["gram"].alias("grams"), *[prefix(k) for k in range(1, ORDERS)])
+def _prefix(k: int, side: str) -> Column:
+    """A set's prefix under another order: rarest first too, but by another hash."""
+    pairs = F.arrays_zip(F.col(f"classes_{side}").alias("c"), F.col(f"grams_{side}").alias("gram"))
+    keyed = F.transform(pairs, lambda x: F.struct(x["c"].alias("c"), F.xxhash64(x["gram"], F.lit(k)).alias("h"), x["gram"].alias("gram")))
+    left = (F.col(f"reach_{side}") - F.col(f"single_{side}")).cast("int")
+    return F.slice(F.sort_array(keyed), F.lit(1), left)["gram"]
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -371,7 +378,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     b = sets.select(*[F.col(c).alias(f"{c}_b") for c in sets.columns]).withColumnRenamed("node_b", "b")
     both = pairs.select("a", "b").join(a, "a").join(b, "b")
     for k in range(1, ORDERS):
-        both = both.where(F.arrays_overlap(f"prefix{k}_a", f"prefix{k}_b"))
+        both = both.where(F.arrays_overlap(_prefix(k, "a"), _prefix(k, "b")))
     common = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
     both = both.select("a", "b", common.alias("common"), (F.col("n_a") + F.col("n_b")).alias("total"))
     return both.where(F.col("common") * 100 >= percent * (F.col("total") - F.col("common"))).select("a", "b")
@@ -385,35 +392,45 @@ def _allowed(percent: int):
             & (F.col("n_a") * 100 >= percent * F.col("n_b")) & (F.col("n_b") * 100 >= percent * F.col("n_a")))
 
 
-def similar_links(nodes: DataFrame, percent: int) -> tuple[DataFrame, list[str]]:
-    """Links (a, b) between nodes (node, n, grams): every link between nodes that the other
-    links returned do not connect already.  Also the paths to drop after use."""
-    sets, sets_path = write_table(_ordered(nodes, percent), "gram-sets")
-    paths = [sets_path]
+def across(named: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels in one n-gram's list (gram, node, n, at, label).
+
+    Of a list of several labels, the nodes outside its most frequent label meet all nodes of the
+    list: that is every pair across labels, and none inside the large one.
+    """
+    held = named.groupBy("gram", "label").agg(F.count("*").alias("held"))
+    main = held.groupBy("gram").agg(F.max_by("label", F.struct("held", "label")).alias("main"), F.count("*").alias("labels"))
+    mixed = named.join(main.where("labels > 1").select("gram", "main"), "gram")
+    side = lambda df, s: df.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "at", "label")], F.col("node").alias(s))
+    few = side(mixed.where("label <> main"), "a")
+    pairs = few.join(side(mixed, "b").join(main.select("gram", "main"), "gram"), "gram")
+    pairs = pairs.where((F.col("label_a") != F.col("label_b")) & ((F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b"))) & _allowed(percent))
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def similar_links(sets: DataFrame, percent: int) -> tuple[DataFrame, list[str]]:
+    """Links (a, b) between the sets of ``_ordered``: every link between nodes that the other
+    links returned do not connect already.  Also the paths to drop after use; tables that nothing
+    reads any more are dropped on the way."""
+    spark = sets.sparkSession
     listed = sets.select("node", "n", "single", F.posexplode(F.slice("grams", F.lit(1), (F.col("reach") - F.col("single")).cast("int"))).alias("at", "gram"))
-    lists, path = write_table(listed.select("gram", "node", "n", (F.col("single") + F.col("at")).alias("at"),
-                                            (F.col("single") / F.col("n")).alias("own")), "gram-lists")
-    paths.append(path)
+    lists, lists_path = write_table(listed.select("gram", "node", "n", (F.col("single") + F.col("at")).alias("at"),
+                                                  (F.col("single") / F.col("n")).alias("own")), "gram-lists")
     # the most central node of a list has the least share of n-grams of its own
     centre = lists.groupBy("gram").agg(F.min(F.struct("own", "node", "n", "at")).alias("m"), F.count("*").alias("held")).where("held > 1")
     star = lists.select("gram", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a")).join(
         centre.select("gram", F.col("m.node").alias("b"), F.col("m.n").alias("n_b"), F.col("m.at").alias("at_b")), "gram")
     star = star.where((F.col("a") != F.col("b")) & _allowed(percent)).select("a", "b").distinct()
-    links, path = write_table(_verified(star, sets, percent), "gram-links")
-    paths.append(path)
+    links, links_path = write_table(_verified(star, sets, percent), "gram-links")
 
-    label, path = write_table(components(links), "gram-labels")
-    paths.append(path)
+    label, label_path = write_table(components(links), "gram-labels")
     named = lists.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named, path = write_table(named.select("gram", "node", "n", "at", "label"), "gram-named")
-    paths.append(path)
-    mixed = named.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("gram")
-    open_lists = named.join(mixed, "gram")
-    side = lambda s: open_lists.select("gram", *[F.col(c).alias(f"{c}_{s}") for c in ("n", "at", "label")], F.col("node").alias(s))
-    across = side("a").join(side("b"), "gram").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _allowed(percent))
-    more, path = write_table(_verified(across.select("a", "b").distinct(), sets, percent), "gram-links")
-    paths.append(path)
-    return links.unionAll(more), paths
+    pairs, pairs_path = write_table(across(named.select("gram", "node", "n", "at", "label"), percent), "gram-pairs")
+    drop_path(spark, lists_path)
+    drop_path(spark, label_path)
+    more, more_path = write_table(_verified(pairs, sets, percent), "gram-links")
+    drop_path(spark, pairs_path)
+    return links.unionAll(more), [links_path, more_path]
 
 
 def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -425,7 +442,10 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     spark = docs.sparkSession
     table, whole = write_table(gram_nodes(docs, size, percent), "gram-nodes")
     rows, _ = write_table(table.where("grams is null").select("doc_id", "node", "n"), "gram-docs")
-    links, paths = similar_links(table.where("grams is not null").select("node", "n", "grams"), percent)
+    sets, sets_path = write_table(_ordered(table.where("grams is not null").select("node", "n", "grams"), percent), "gram-sets")
+    drop_path(spark, whole)
+    links, paths = similar_links(sets, percent)
+    drop_path(spark, sets_path)
     label = components(links)
     sets = rows.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     sets = sets.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -435,7 +455,7 @@ def ngram_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataF
     alone = sets.where("copies > 1").join(joined, "label", "left_anti").select("node", "n", F.col("first").alias("component_id"))
     found = linked.join(least, "label").select("node", "n", "component_id").unionAll(alone)
     found, _ = write_table(found, "gram-components")
-    for p in [whole, *paths]:
+    for p in paths:
         drop_path(spark, p)
     return rows.join(found, ["node", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

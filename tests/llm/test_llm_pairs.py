@@ -6,10 +6,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import decontamination as dc
 from basketry.llm.components import components
-from basketry.llm.ngram_join import ngram_components
+from basketry.llm.ngram_join import across, ngram_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -232,3 +233,23 @@ def test_items_without_spaces_and_short_items(spark):
 def test_subsequence():
     assert dc.subsequence([1, 2, 3, 4], [9, 1, 0, 3, 4, 2]) == 3
     assert dc.subsequence([1, 1, 2], [1, 2, 1]) == 2 and dc.subsequence([1], []) == 0
+
+
+def test_null_and_negative_ids(spark):
+    text, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(1, 61))
+    rows = [(None, text), (5, text), (-1, near), (None, "quite another text of some words"), (None, "a b c d e f"), (None, "a b c d e f"), (7, None), (None, "")]
+    found = sorted((tuple(r) for r in ngram_components(frame(spark, rows)).collect()), key=str)
+    plain = [(None, 57, -1), (5, 57, -1), (-1, 57, -1), (None, 3, None), (None, 3, None), (None, 3, None), (7, 0, 7), (None, 0, None)]
+    assert found == sorted(plain, key=str)
+
+
+def test_a_family_with_an_outlier_is_not_squared(spark):
+    """One list of 20,000 nodes of one component and one node of another."""
+    named = spark.range(20_001).select(F.lit(1).cast("long").alias("gram"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"),
+                                       F.lit(0).cast("long").alias("at"), F.when(F.col("id") == 20_000, 20_000).otherwise(0).cast("long").alias("label"))
+    pairs = across(named, 80)
+    assert pairs.count() == 20_000
+    halves = named.limit(40).withColumn("label", F.col("node") % 3)
+    found = {(r.a, r.b) for r in across(halves, 80).collect()}
+    nodes = [r.node for r in halves.collect()]
+    assert found == {(a, b) for a in nodes for b in nodes if a > b and a % 3 != b % 3}
