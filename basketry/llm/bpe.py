@@ -36,7 +36,7 @@ from basketry.llm.texts import frugal, prepare
 SCAN_BYTES = 64
 CACHED = 250_000
 #: Characters of text handled at a time in a task.
-CHARS = 1 << 21
+CHARS = 1 << 19
 
 # Fixed value: the published pattern that splits text for byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
