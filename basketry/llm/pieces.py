@@ -67,12 +67,16 @@ class PieceEncoder:
     def _lookup(self, pieces: list[str]) -> np.ndarray:
         if len(self.now.index) > self.cached:
             self.now, self.before = _Generation(), self.now
-        missing = [p for p in pieces if p not in self.now.index]
-        old = [p for p in missing if p in self.before.index]
-        self.now.add(old, *self.before.gather(np.array([self.before.index[p] for p in old], np.int64)))
-        new = [p for p in missing if p not in self.before.index]
-        self.now.add(new, *self.following(new))
-        return np.fromiter(map(self.now.index.__getitem__, pieces), np.int64, len(pieces))
+        known = self.now.index.get
+        place = np.array([known(p, -1) for p in pieces], np.int64)
+        missing = np.flatnonzero(place < 0)
+        earlier = self.before.index.get
+        before = np.array([earlier(pieces[k], -1) for k in missing.tolist()], np.int64)
+        for rows, coded in ((missing[before >= 0], self.before.gather), (missing[before < 0], None)):
+            some = [pieces[k] for k in rows.tolist()]
+            place[rows] = len(self.now.index) + np.arange(len(rows))  # where add puts them: they are distinct
+            self.now.add(some, *(coded(before[before >= 0]) if coded else self.following(some)))
+        return place
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)

@@ -68,8 +68,10 @@ class Tokens(PieceEncoder):
         flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         for a in range(0, len(pieces), 4000):
             some = pieces[a : a + 4000]
-            ids = self._library([" " + " ".join(some)])[0]
-            end = np.cumsum([len(p.encode("utf-8", "replace")) + 1 for p in some])
+            joined = " ".join(some)
+            ids = self._library([" " + joined])[0]
+            length = map(len, some) if joined.isascii() else (len(p.encode("utf-8", "replace")) for p in some)
+            end = np.cumsum(np.fromiter(length, np.int64, len(some)) + 1)
             flat.append(ids)
             sizes.append(np.diff(np.searchsorted(np.cumsum(self.width[ids]), end) + 1, prepend=0))
         return np.concatenate(flat), np.concatenate(sizes)
