@@ -5,7 +5,8 @@ by which the text changes the prior.  Grouped sums of its probabilities over all
 posteriors for every host and every path of a host.  A path with few documents is shrunk toward
 its host's posterior and a host toward the global rate, by beta priors whose weights are
 estimated from how much the rates differ between hosts, and between paths of a host (method of
-moments).  A document's score combines its evidence with its path's posterior.
+moments).  A document's score combines its evidence with the posterior of its path's other documents,
+so that its own evidence counts once.
 
 The classifier is fitted on a bounded sample of about ``ROWS`` labelled documents of each label
 of at most ``ROW_BYTES`` bytes, none held out; rates and posteriors cover all documents.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.texts import column_bytes, prepare, slices, span_hashes, word_spans
+from basketry.llm.texts import column_bytes, held_out, prepare, slices, span_hashes, word_spans
 from basketry.llm.toxicity import sample_rows
 from basketry.session import write_table
 
@@ -30,6 +31,8 @@ ROWS = 2_500
 ROW_BYTES = 65_536
 #: Weights of the beta priors lie within these limits, in documents.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1e6
+#: Probabilities are summed in whole numbers of 1 / UNIT.
+UNIT = 1 << 24
 
 _UPPER, _LOWER, _DIGIT, _MARK = (np.zeros(256, bool) for _ in range(4))
 _UPPER[65:91] = _LOWER[97:123] = _DIGIT[48:58] = True
@@ -95,7 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         w += np.linalg.solve((z * (each * p * (1 - p))[:, None]).T @ z + np.eye(len(w)), z.T @ (each * (y - p)) - w)
-    rate = labels.where("quality in (0, 1)").agg(F.avg("quality")).first()[0]
+    rate = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).agg(F.avg("quality")).first()[0]
     return {"mean": mean, "scale": scale, "weights": w, "rate": float(min(max(rate, 1e-3), 1 - 1e-3))}
 
 
@@ -120,19 +123,40 @@ def _weight(groups: DataFrame, prior: str) -> float:
     return float(min(max(r["u"] / r["v"] - 1, LEAST_WEIGHT), MOST_WEIGHT))
 
 
-def site_posteriors(scored: DataFrame, model: dict) -> DataFrame:
-    """(host, path, host_posterior, path_posterior) from documents (host, path, evidence)."""
+def _probability(model: dict) -> Column:
+    """The classifier's probability of quality 1, in units of 1 / UNIT: sums of whole numbers do not
+    depend on the order of rows."""
     rate = model["rate"] if model else 0.5
     p = 1 / (1 + F.exp(-(F.col("evidence") + float(np.log(rate / (1 - rate))))))
-    paths, _ = write_table(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("s")), "quality-paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    whole = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
-    overall = whole["s"] / whole["n"] if whole["n"] else rate
-    weight = _weight(hosts.withColumn("prior", F.lit(overall)), "prior")
-    hosts = hosts.select(F.col("host").alias("h"), ((F.col("s") + weight * overall) / (F.col("n") + weight)).alias("host_posterior"))
-    both = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
-    weight = _weight(both, "host_posterior")
-    return both.select("host", "path", "host_posterior", ((F.col("s") + weight * F.col("host_posterior")) / (F.col("n") + weight)).alias("path_posterior"))
+    return F.round(p * UNIT).cast("long")
+
+
+def _posterior(held: str, prior: Column | str, weight: float, less: int | Column = 0, own: int | Column = 0) -> Column:
+    """Of a group (n_held, s_held), less some documents and their sum: shrunk toward the prior."""
+    prior = F.col(prior) if isinstance(prior, str) else prior
+    n, s = F.col(f"n_{held}") - less, (F.col(f"s_{held}") - own) / UNIT
+    return (s + F.lit(weight) * prior) / (n + F.lit(weight))
+
+
+def site_sums(scored: DataFrame, model: dict) -> tuple[DataFrame, dict]:
+    """(host, path, n_host, s_host, n_path, s_path) from documents (host, path, evidence): numbers and
+    summed probabilities; and the global rate and the weights of both priors."""
+    paths, _ = write_table(scored.groupBy("host", "path").agg(F.count("*").alias("n_path"), F.sum(_probability(model)).alias("s_path")), "quality-paths")
+    hosts = paths.groupBy("host").agg(F.sum("n_path").alias("n_host"), F.sum("s_path").alias("s_host"))
+    whole = hosts.agg(F.sum("n_host").alias("n"), F.sum("s_host").alias("s")).first()
+    overall = whole["s"] / UNIT / whole["n"] if whole["n"] else (model["rate"] if model else 0.5)
+    rows = lambda held, prior: (F.col(f"n_{held}").alias("n"), (F.col(f"s_{held}") / UNIT).alias("s"), prior.alias("prior"))
+    by_host = _weight(hosts.select(*rows("host", F.lit(overall))), "prior")
+    both = paths.join(hosts.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).drop("h")
+    by_path = _weight(both.select(*rows("path", _posterior("host", F.lit(overall), by_host))), "prior")
+    return both, {"rate": overall, "host": by_host, "path": by_path}
+
+
+def site_posteriors(scored: DataFrame, model: dict) -> DataFrame:
+    """(host, path, host_posterior, path_posterior) from documents (host, path, evidence)."""
+    sums, prior = site_sums(scored, model)
+    sums = sums.withColumn("host_posterior", _posterior("host", F.lit(prior["rate"]), prior["host"]))
+    return sums.select("host", "path", "host_posterior", _posterior("path", "host_posterior", prior["path"]).alias("path_posterior"))
 
 
 def classify(docs: DataFrame, host: Column, path: Column, model: dict, keep: list[str]) -> DataFrame:
@@ -141,10 +165,15 @@ def classify(docs: DataFrame, host: Column, path: Column, model: dict, keep: lis
     prepare(docs.sparkSession)
     named = [F.col(c).alias(f"kept_{c}") for c in keep]
     rows = docs.select(*named, host.alias("host"), path.alias("path"), evidence(F.col("text"), model).alias("evidence"))
-    sites, _ = write_table(site_posteriors(rows.select("host", "path", "evidence"), model), "quality-sites")
-    sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_posterior", "path_posterior")
+    sums, prior = site_sums(rows.select("host", "path", "evidence"), model)
+    sites, _ = write_table(sums, "quality-sites")
+    sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "n_host", "s_host", "n_path", "s_path")
     joined = rows.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")), "left").drop("h", "p")
-    odds = F.col("path_posterior") / (1 - F.col("path_posterior"))
+    own = _probability(model)  # a document is no evidence for its own prior
+    joined = joined.withColumn("host_posterior", _posterior("host", F.lit(prior["rate"]), prior["host"], 1, own))
+    joined = joined.withColumn("path_posterior", _posterior("path", "host_posterior", prior["path"], 1, own)).drop("n_host", "s_host", "n_path", "s_path")
+    prior = F.least(F.greatest(F.col("path_posterior"), F.lit(1 / UNIT)), F.lit(1 - 1 / UNIT))
+    odds = prior / (1 - prior)
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(odds)))) if model else F.lit(0.5)
     joined = joined.withColumn("score", score)
     renamed = joined.withColumn("accepted", F.col("score") >= 0.5)
