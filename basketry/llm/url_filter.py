@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.texts import prepare
+from basketry.session import drop_path, write_table
 
 MAX_BITS = 1 << 30
 
@@ -41,13 +42,13 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """The keys a url may match, longest first (then the longer host)."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    suffixes = F.when(host == "", F.array().cast("array<string>")).otherwise(suffixes)
+def candidate_keys(host: Column, path: Column, lengths: list[int], labels: list[int]) -> Column:
+    """The keys a url may match, longest first (then the longer host): its host's last labels and its
+    path's beginning, of the numbers of labels and the lengths that some rule has."""
+    dots = F.length(host) - F.length(F.translate(host, ".", ""))
+    suffixes = F.array(*[F.when((dots + 1 >= n) & (host != ""), F.substring_index(host, ".", -n)) for n in labels]).cast("array<string>")
     fitting = F.filter(F.lit(lengths or [0]), lambda n: n <= F.length(path))
-    keys = F.flatten(F.transform(suffixes, lambda s: F.transform(fitting, lambda n: F.struct(
+    keys = F.flatten(F.transform(F.array_compact(suffixes), lambda s: F.transform(fitting, lambda n: F.struct(
         (-F.length(s) - n).alias("by"), (-F.length(s)).alias("host"), F.concat(s, F.substring(path, F.lit(1), n)).alias("key")))))
     return F.transform(F.sort_array(keys), lambda k: k["key"])
 
@@ -118,7 +119,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     inside = listed.select("key").distinct().select(*_hashes(F.col("key"))).cache()
     outside = universe.select("key").distinct().join(listed.select("key").distinct(), "key", "left_anti").select(*_hashes(F.col("key"))).cache()
     n, others = inside.count(), outside.count()
-    add, test = inside, outside
+    add, test, cached = inside, outside, [inside, outside]
     rate = min(0.5, max(1, n) / (math.sqrt(2) * max(1, others)))
     while n:
         count = max(1, round(math.log2(1 / rate)))
@@ -133,7 +134,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
         cascade.levels.append((bits, count, salt, table))
         wrong = test.mapInArrow(_keep(cascade, len(cascade.levels) - 1), "h1 long, h2 long").cache()
         add, test, n, rate = wrong, add, wrong.count(), 0.5
-    for df in (inside, outside):
+        cached.append(wrong)
+    for df in cached:
         df.unpersist()
     return cascade
 
@@ -168,14 +170,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     (verdict, host, path)."""
     spark: SparkSession = pages.sparkSession
     lengths = sorted(r["n"] for r in rules.select(F.length("path").alias("n")).distinct().collect())
+    labels = sorted(r["n"] for r in rules.select(F.size(F.split("host", r"\.", -1)).alias("n")).distinct().collect())
     host, path = host_and_path(F.col("url"))
     parsed = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    parsed = parsed.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
-    universe = parsed.select(F.explode("keys").alias("key"))
+    parsed = parsed.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths, labels))
+    universe, universe_path = write_table(parsed.select(F.explode("keys").alias("key")).distinct(), "url-keys")
     cascades = {}
     for name in ("allow", "block"):
         listed = rules.where(F.col("verdict") == name).select(F.concat("host", "path").alias("key"))
         cascades[name] = build_cascade(listed, universe)
+    drop_path(spark, universe_path)
     prepare(spark)
     h1 = F.transform("keys", lambda k: _hashes(k)[0]).alias("h1")
     h2 = F.transform("keys", lambda k: _hashes(k)[1]).alias("h2")
