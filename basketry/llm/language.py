@@ -199,8 +199,9 @@ def best_labels(row: np.ndarray, scores: np.ndarray, switch: float = SWITCH) ->
     first, size = first[order], size[order]
     active = np.searchsorted(-size, -np.arange(size[0] + 1), "left")  # rows longer than t
     best = scores[first].astype(np.float64)
-    origin = np.zeros(scores.shape, np.int8)  # the label before, if this one is taken
-    here = np.arange(scores.shape[1], dtype=np.int8)
+    kind = np.min_scalar_type(-max(1, scores.shape[1]))  # holds every label
+    origin = np.zeros(scores.shape, kind)  # the label before, if this one is taken
+    here = np.arange(scores.shape[1], dtype=kind)
     for t in range(1, int(size[0])):
         n = int(active[t])
         held = best[:n]
@@ -208,10 +209,10 @@ def best_labels(row: np.ndarray, scores: np.ndarray, switch: float = SWITCH) ->
         change = held[np.arange(n), top] - switch
         stay = held >= change[:, None]
         at = first[:n] + t
-        origin[at] = np.where(stay, here, top[:, None].astype(np.int8))
+        origin[at] = np.where(stay, here, top[:, None].astype(kind))
         best[:n] = np.where(stay, held, change[:, None]) + scores[at]
         best[:n] -= best[:n].max(1, keepdims=True)  # only differences matter
-    label = np.zeros(len(row), np.int8)
+    label = np.zeros(len(row), kind)
     label[first + size - 1] = best.argmax(1)
     for t in range(int(size[0]) - 1, 0, -1):
         n = int(active[t])
