@@ -6,8 +6,9 @@ So the order of paragraphs does not matter, and a paragraph is inserted or delet
 subtracting its vector, without the rest of the text.
 
 The EXACT lanes are the paragraph's 512-bit BLAKE2b digest; they decide equality.  In the LIKE
-lanes each pair of neighbouring words adds 1 or -1 to one lane (both chosen by its hash), so the
-squared length of the difference of two fingerprints estimates by how much the texts differ:
+lanes each pair of neighbouring words of a line, each line's first word, and each run of nine bytes
+of a long word (so that scripts without spaces count by character) adds 1 or -1 to one lane
+(both chosen by its hash), so the squared length of the difference of two fingerprints estimates by how much the texts differ:
 likeness = 1 - |a - b|**2 / (|a|**2 + |b|**2), within 0 and 1.
 
 Defined cases: a null or empty text has no paragraph and the zero fingerprint, two such are
@@ -21,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from basketry.llm.order import range_of, split_points
 from basketry.llm.texts import column_bytes, mix, prepare, slices, span_hashes, word_spans
 
 EXACT, LIKE = 8, 256
+#: Words of more bytes also count by their runs of ``RUN`` bytes (three characters of most scripts without spaces).
+LONG, RUN = 32, 9
 #: Characters of text handled at a time in a task.
 CHARS = 1 << 21
 
@@ -49,14 +53,27 @@ def _like_lanes(texts: list[str]) -> np.ndarray:
         if held is not None:
             row, line, word = (np.concatenate([[h], x]).astype(x.dtype) for h, x in zip(held, (row, line, word)))
         pair = (row[1:] == row[:-1]) & (line[1:] == line[:-1])
-        gram = mix(word[:-1][pair] * np.uint64(0x9FB21C651E98DF25) + word[1:][pair])
-        of = row[1:][pair]
-        value = 1 - 2 * ((gram >> np.uint64(32)) & np.uint64(1)).astype(np.int64)
-        np.add.at(lanes.reshape(-1), of * LIKE + (gram % np.uint64(LIKE)).astype(np.int64), value)
+        first = np.flatnonzero(~pair) + 1  # words that begin a line
+        first = first if held is not None else np.append(0, first)
+        grams = [(row[1:][pair], mix(word[:-1][pair] * np.uint64(0x9FB21C651E98DF25) + word[1:][pair])), (row[first], mix(word[first] + np.uint64(1)))]
+        for of, gram in chain(grams, _long_words(data, begin, end, row[len(row) - len(begin) :])):
+            value = 1 - 2 * ((gram >> np.uint64(32)) & np.uint64(1)).astype(np.int64)
+            np.add.at(lanes.reshape(-1), of * LIKE + (gram % np.uint64(LIKE)).astype(np.int64), value)
         held = (row[-1], line[-1], word[-1])
     return lanes
 
 
+def _long_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and hash of every run of ``RUN`` bytes in words of more than ``LONG`` bytes, a few at a time."""
+    for w in np.flatnonzero(end - begin > LONG).tolist():
+        for start in range(int(begin[w]), int(end[w]) - RUN + 1, 1 << 18):
+            size = min(1 << 18, int(end[w]) - RUN + 1 - start)
+            gram = np.zeros(size, np.uint64)
+            for k in range(RUN):
+                gram = gram * np.uint64(0x100000001B3) + data[start + k : start + k + size].astype(np.uint64) + np.uint64(1)
+            yield np.full(size, row[w]), mix(gram)
+
+
 def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """EXACT (uint64) and LIKE (uint16) lanes of each text."""
     rows, digests = [], []

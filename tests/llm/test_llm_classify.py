@@ -176,3 +176,69 @@ def test_ranges_are_the_same_however_rows_are_partitioned(spark):
     assert points == split_points(ids.repartition(2), "id", 16) and 10 <= len(points) <= 15
     got = {r["id"]: r["b"] for r in ids.select("id", range_of(F.col("id"), points).alias("b")).collect()}
     assert got == {i: int(np.searchsorted(points, i, "right")) for i in got}
+
+
+def test_viterbi_with_many_languages():
+    rng = np.random.default_rng(4)
+    scores = rng.normal(size=(300, 200)).astype(np.float32)
+    scores[:150, 150] += 50
+    scores[150:, 199] += 50
+    label = language.best_labels(np.repeat([0, 1], 150), scores)
+    assert set(label[:150].tolist()) == {150} and set(label[150:].tolist()) == {199}
+
+
+def test_held_out_labels_change_no_score(spark, tables):
+    docs, labels = tables
+    turned = labels.withColumn("quality", F.when(held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    scores = [{r["doc_id"]: r["score"] for r in quality.classify(docs, F.col("source"), F.col("lang"), quality.fit(docs, x), ["doc_id"]).collect()}
+              for x in (labels, turned)]
+    assert scores[0] == scores[1]
+
+
+def plain_posteriors(rows, rate):
+    """Each document's host and path posterior without it, in plain Python."""
+    unit = float(1 << 24)
+    p = [round(unit / (1 + np.exp(-(e + np.log(rate / (1 - rate)))))) / unit for _, _, e in rows]
+
+    def weight(groups):
+        some = [(n, s, m) for n, s, m in groups if n > 1]
+        v = sum(n * (s / n - m) ** 2 - m * (1 - m) for n, s, m in some)
+        if not some or v <= 0:
+            return 1e6
+        return min(max(sum((n - 1) * m * (1 - m) for n, _, m in some) / v - 1, 1.0), 1e6)
+
+    def sums(key):
+        out = {}
+        for r, x in zip(rows, p):
+            n, s = out.get(key(r), (0, 0.0))
+            out[key(r)] = (n + 1, s + x)
+        return out
+
+    hosts, paths = sums(lambda r: r[0]), sums(lambda r: r[:2])
+    overall = sum(p) / len(p)
+    wh = weight([(n, s, overall) for n, s in hosts.values()])
+    whole = {h: (s + wh * overall) / (n + wh) for h, (n, s) in hosts.items()}
+    wp = weight([(n, s, whole[k[0]]) for k, (n, s) in paths.items()])
+    out = []
+    for (h, path, _), x in zip(rows, p):
+        host = (hosts[h][1] - x + wh * overall) / (hosts[h][0] - 1 + wh)
+        out.append((host, (paths[h, path][1] - x + wp * host) / (paths[h, path][0] - 1 + wp)))
+    return out
+
+
+def test_posteriors_against_plain_sums(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(r.choice(["a", "b", "c", None]), r.choice(["x", "y", None]), r.gauss(0.5, 2)) for _ in range(300)] + [("alone", "z", 2.0)]
+    docs = spark.createDataFrame([(i, str(e), h, p) for i, (h, p, e) in enumerate(rows)], "doc_id long, text string, h string, p string")
+    monkeypatch.setattr(quality, "evidence", lambda text, model: text.cast("double"))
+    found = {r["doc_id"]: r for r in quality.classify(docs, F.col("h"), F.col("p"), {"rate": 0.3}, ["doc_id"]).collect()}
+    for i, ((host, path), (_, _, e)) in enumerate(zip(plain_posteriors(rows, 0.3), rows)):
+        assert found[i]["host_posterior"] == pytest.approx(host, abs=1e-9) and found[i]["path_posterior"] == pytest.approx(path, abs=1e-9)
+        assert found[i]["score"] == pytest.approx(1 / (1 + np.exp(-(e + np.log(path / (1 - path))))), abs=1e-9)
+
+
+def test_a_host_of_very_many_labels(spark):
+    urls = ["http://" + "a." * 20_000 + "net/es/x", "http://" + "a." * 20_000 + "org/es/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = url_filter.judge_urls(pages, spark.createDataFrame(RULES, "verdict string, host string, path string")).orderBy("page_id").collect()
+    assert [(r["rule"], r["verdict"]) for r in found] == [("net/es/", "block"), (None, "allow")]

@@ -157,3 +157,17 @@ def test_edited_fingerprints(spark):
     assert fingerprint.edited_fingerprints(docs.where("false")).collect() == []
     one = fingerprint.edited_fingerprints(docs.where("doc_id = 3")).first()
     assert one["near_next"] == 1.0
+
+
+def test_likeness_of_scripts_without_spaces_and_of_short_lines():
+    line = "".join(chr(0x4E00 + (k * 7919) % 20000) for k in range(300))
+    near = line[:100] + "\u4e01\u4e02" + line[102:]
+    other = "".join(chr(0x4E00 + (k * 104729) % 20000) for k in range(300))
+    words = "\n".join(f"w{k}" for k in range(200))
+    of = lambda *t: fingerprint.fingerprints(list(t))
+    like = lambda a, b: float(fingerprint.likeness(*[tuple(x[:1] for x in of(t)) for t in (a, b)])[0])
+    assert like(line + "\n" + other, near + "\n" + other) > 0.95 and like(line, other) < 0.3
+    assert like(words, words.replace("w7\n", "v7\n")) > 0.95 and like("one", "one") == 1.0
+    whole, parts = of(line + "\n" + words), [of(line), of(words)]
+    total = fingerprint.add(*parts)
+    assert (whole[0] == total[0]).all() and (whole[1] == total[1]).all()  # still a sum over paragraphs
