@@ -98,5 +98,5 @@ def test_rows_without_an_id_and_namesakes_are_judged_by_themselves(spark):
 
 def test_entry_registers_the_operators(spark):
     names = entry.queries()
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(QUERIES) <= set(names) and "pipeline" in names
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLES) <= set(QUERIES)
