@@ -2,10 +2,12 @@
 
 import os
 import re
+from functools import partial
 
 import pytest
 
 import __spark_entry__ as entry
+from basketry.operators import learning
 from tools.check_oracle import compare, duck
 
 SF = os.environ.get("BASKETRY_TEST_SF", "/root/testdata/sf0.001")
@@ -55,7 +57,16 @@ def test_every_query_registered_and_runs_schema(spark):
 ROWS_ONLY = sorted(set(entry.queries()) - set(ORACLES))
 
 
+@pytest.fixture(scope="module")
+def few_rounds():
+    """The plans that share the boosted model run here with 10 rounds of it; tests/test_models.py tests the fit."""
+    whole = learning.fit_gbt
+    learning.fit_gbt = partial(whole, rounds=10)
+    yield
+    learning.fit_gbt = whole
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
-def test_rows_only_query_runs(spark, name):
+def test_rows_only_query_runs(spark, few_rounds, name):
     df = entry.queries()[name](spark, SF)
     assert df.count() > 0 and len(df.columns) > 0
