@@ -169,3 +169,36 @@ def test_importance_does_not_depend_on_the_number_of_partitions(spark, split):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1]
+
+
+def test_leaves_by_bits_and_by_walking_are_the_same():
+    rng = np.random.default_rng(5)
+
+    def tree(depth):
+        t = boosting.Tree()
+        todo = [(t.add(float(rng.normal()), 1), 0)]
+        while todo:
+            at, level = todo.pop()
+            if level < depth and rng.random() < 0.9:
+                sides = [t.add(float(rng.normal()), 1) for _ in range(2)]
+                t.split(at, int(rng.integers(4)), int(rng.integers(255)), 1.0, *sides)
+                todo += [(c, level + 1) for c in sides]
+        return t
+
+    trees = [tree(d) for d in (3, 5, 0, 6, 9, 4, 4, 6)]
+    bins, donors = (rng.integers(0, 256, (40_000, 4)).astype(np.uint8) for _ in range(2))
+
+    def walked(rows):
+        out = np.zeros(len(rows)) + 0.5
+        for t in trees:
+            out += np.array(t.value)[t.nodes(rows)]
+        return out
+
+    made = boosting.compiled(trees, 4)
+    assert len(made) < len(trees) and any(isinstance(m, boosting.Tree) for m in made)
+    assert (boosting.scores(bins, 0.5, trees) == walked(bins)).all()
+    found = boosting.variant_scores(bins, donors, 0.5, made)
+    for f in range(4):
+        mixed = bins.copy()
+        mixed[:, f] = donors[:, f]
+        assert (found[f] == walked(mixed)).all()
