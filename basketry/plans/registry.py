@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import fixed
+from basketry.functions.ordering import group_bound
 from basketry.operators import boosting, clean, dashboard, evaluation, extracts, features, learning, quality, rfm, views
 from basketry.plans import batch
 from basketry.session import materialize, shared_dir, write_table
@@ -259,8 +260,14 @@ def _features(spark, sf, grain="part"):
     """The panel is derived once and written; every feature block reads pruned columns of it."""
     p = star_panel(spark, sf, grain=grain)
     p = dataclasses.replace(p, orders=materialize(p.orders), order_products=materialize(p.order_products))
-    oc = clean.orders_clean(p.orders, p.order_products, p.product_prices)
-    return p, oc, features.reorder_features(p.orders, p.order_products, oc)
+    lines = p.order_products
+    if grain == "family" or not star.repeated(star.read_table(spark, sf, "part"), "p_partkey"):
+        # one price a product, and the plan knows it: blocks that need no price drop the join
+        p = dataclasses.replace(p, product_prices=p.product_prices.groupBy("product_id").agg(F.max("price").alias("price")))
+    oc = clean.orders_clean(p.orders, lines, p.product_prices)
+    most = group_bound(p.orders, "user_id") * group_bound(lines, "order_id")  # lines of a user
+    bounded = max(most, group_bound(lines, "product_id")) <= features.WINDOW_ROWS
+    return p, oc, features.reorder_features(p.orders, lines, oc, bounded)
 
 
 def _det_predictions(spark, sf):

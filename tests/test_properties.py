@@ -240,3 +240,47 @@ def test_ranges_follow_the_number_of_rows(spark, monkeypatch):
     assert len(sizes) == 50 and max(sizes) <= 2 * 20_000
     got = ordering.exact_rank(df.where("id < 30000"), ["x", "id"], out="r").agg(F.min("r"), F.max("r"), F.countDistinct("r")).first()
     assert tuple(got) == (1, 30_000, 30_000)
+
+
+def _odd_star(spark):
+    """Lines and orders with nulls, repeated rows and orders of two users."""
+    orders = [(i % 190, None if i % 41 == 0 else i % 13, None if i % 37 == 0 else 86_400_000_000 * (i * 7 % 50) + i % 3) for i in range(200)]
+    lines = [(None if i % 53 == 0 else i * 11 % 200, None if i % 29 == 0 else i * 5 % 17, None if i % 31 == 0 else i % 1500) for i in range(1500)]
+    o = spark.createDataFrame([r for r in orders], "order_id long, user_id long, t long").select("order_id", "user_id", F.timestamp_micros("t").alias("ts"))
+    return o, spark.createDataFrame(lines + lines[::9], "order_id long, product_id long, line long")
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_bounded_panel_and_features_are_those_of_the_spread_ones(spark):
+    from basketry.operators import clean, features
+
+    raw, lines = _odd_star(spark)
+    orders = star.sequence_orders(raw, True)
+    assert _rows(orders) == _rows(star.sequence_orders(raw, False))
+    for dedup in (True, False):
+        one, many = (star.basket_lines(lines, dedup, bounded=b) for b in (True, False))
+        assert _rows(one) == _rows(many)
+    flagged = star.flag_reorders(one, orders, "left", True)
+    assert _rows(flagged) == _rows(star.flag_reorders(one, orders, "left", False))
+    panel = star.flag_reorders(star.basket_lines(lines, bounded=True), orders, "inner", True).localCheckpoint()
+    prices = spark.range(12).select(F.col("id").alias("product_id"), F.lit(2).cast("decimal(8,2)").alias("price"))
+    oc = clean.orders_clean(orders, panel, prices)
+    found, plain = (features.reorder_features(orders, panel, oc, b) for b in (True, False))
+    assert found.dtypes == plain.dtypes and _rows(found) == _rows(plain) and found.count() > 30
+
+
+def test_lines_are_moved_once_by_order(spark):
+    df = spark.range(1000).select((F.col("id") % 90).alias("order_id"), (F.col("id") % 7).alias("product_id"), F.col("id").alias("line"))
+    plan = star.basket_lines(df, bounded=True)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in x for x in plan.splitlines()) == 1
+    assert ordering.group_bound(df, "order_id") >= 12 and ordering.group_bound(df.where("false"), "order_id") == 0
+
+
+def test_features_of_odd_tables_need_no_price(spark):
+    from basketry.plans import registry
+
+    plan = registry._features(spark, "/root/testdata/sf0.001")[2]._jdf.queryExecution().optimizedPlan().toString()
+    assert "price" not in plan and plan.count("Join") == 4
