@@ -7,9 +7,9 @@ searched for each block:
    in it), written once to the shared folder.
 2. Document frequencies of the vocabulary are counted over all documents.
 3. A randomised SVD of TF-IDF passages gives a latent space of ``RANK`` dimensions: Spark tasks
-   multiply the sampled passages with a random matrix and sum the products, with power
-   iterations in between.  The sample has all items (weighted) and about ``SAMPLE`` windows of
-   the corpus, picked by a hash.  The space holds the items' own rows whole, so that the product
+   multiply the passages with a random matrix and Spark sums the products, with power
+   iterations in between.  The passages are all items (weighted) and all windows of
+   the corpus.  The space holds the items' own rows whole, so that the product
    of an item with a passage is the same in it as over all words.
 4. Documents are read in windows of ``WINDOW`` words, half overlapping, and an item is looked for
    in a window and as many words on either side as the item has.  A passage holds all that is
@@ -56,7 +56,8 @@ WINDOW = 64
 RUN = 4
 #: Least latent rank; a block of more parts has as many dimensions as parts.
 RANK = 192
-SAMPLE = 8_000
+#: Words of the vocabulary in a part of a sum, and about so many entries of windows multiplied at a time.
+PART, ENTRIES = 256, 1 << 12
 #: Least cosine that the recall of the latent space is tested for; no candidate depends on it.
 COSINE = 0.3
 COVERED = 0.7
@@ -249,34 +250,50 @@ def _tfidf(flat: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.nda
     return window, word, value
 
 
-def _products(kind: str, weight: np.ndarray, share: float, omega) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The sum over sampled passages a of a (a omega)."""
+def _products(kind: str, weight: np.ndarray, omega) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sum over all passages a of a (a omega), in parts of ``PART`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = omega.value
         total = np.zeros(m.shape)
         for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for at, flat, offsets in _sequences(batch.column(1), kind):
-                row, first, last = _windows(offsets)
-                nth = first - offsets[row]
-                mixed = (ids[at + row] * np.uint64(0x9E3779B97F4A7C15) + nth.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-                pick = (mixed >> np.uint64(32)).astype(np.float64) < share * 2.0**32
-                if pick.any():
-                    window, word, value = _tfidf(flat, first[pick], last[pick], weight)
-                    total += gram_times(window, word, value, m)
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["data"])
+            for _, flat, offsets in _sequences(batch.column(1), kind):
+                _, first, last = _windows(offsets)
+                known = np.concatenate([[0], np.cumsum(flat > 0)])
+                some = np.flatnonzero(known[last] > known[first])  # the others add nothing
+                first, last = first[some], last[some]
+                lead, end = known[first], known[last]
+                outside = (last - first - (end - lead)) * weight[0] ** 2
+                words = flat[flat > 0]
+                entries = np.cumsum(end - lead)
+                cuts = np.searchsorted(entries, np.arange(ENTRIES, (entries[-1] if len(entries) else 0) + ENTRIES, ENTRIES))
+                at = 0
+                for cut in cuts:
+                    to = min(int(cut) + 1, len(some))
+                    if to > at:
+                        gram_times(*_tfidf(words, lead[at:to], end[at:to], weight), m, outside[at:to], total)
+                    at = to
+        parts = range(0, len(total), PART)
+        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([total[k : k + PART].tobytes() for k in parts], pa.binary())], ["part", "data"])
 
     return run
 
 
-def gram_times(window: np.ndarray, word: np.ndarray, value: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """A' (A m) for the sparse rows of A, each scaled to length 1; row 0 of m is not used."""
-    out = np.zeros(m.shape)
+def _added(table: pa.Table) -> pa.Table:
+    """The sum of one part of several tasks."""
+    total = sum(np.frombuffer(d.as_py(), np.float64) for d in table.column("data"))
+    return pa.table({"part": table.column("part").slice(0, 1), "data": pa.array([total.tobytes()], pa.binary())})
+
+
+def gram_times(window: np.ndarray, word: np.ndarray, value: np.ndarray, m: np.ndarray, outside: np.ndarray | float = 0.0,
+               out: np.ndarray | None = None) -> np.ndarray:
+    """A' (A m) for the sparse rows of A, each scaled to length 1, added to ``out``; row 0 of m is not used.
+    ``outside`` is what words that have no entries add to the squared length of each row."""
+    out = np.zeros(m.shape) if out is None else out
     if not len(window):
         return out
-    norm = np.sqrt(np.bincount(window, value**2))
-    value = value / norm[window]
+    norm = np.sqrt(np.bincount(window, value**2) + outside)
+    value = (value / norm[window]).astype(m.dtype)
     known = word > 0
     window, word, value = window[known], word[known], value[known]
     if not len(window):
@@ -284,35 +301,35 @@ def gram_times(window: np.ndarray, word: np.ndarray, value: np.ndarray, m: np.nd
     starts = np.flatnonzero(np.diff(window, prepend=-1))
     left = np.add.reduceat(m[word] * value[:, None], starts, axis=0)
     place = np.cumsum(np.diff(window, prepend=window[0]) > 0)
-    np.add.at(out, word, left[place] * value[:, None])
+    order = np.argsort(word, kind="stable")
+    word = word[order]
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[starts]] += np.add.reduceat(left[place[order]] * value[order, None], starts, axis=0)
     return out
 
 
 def latent_space(numbered: DataFrame, block: Block, weight: np.ndarray, windows: int) -> np.ndarray:
-    """Randomised SVD: an orthonormal basis of the items' rows and, up to RANK, of the windows'."""
+    """Randomised SVD: an orthonormal basis of the items' rows and, up to RANK, of all ``windows`` of the corpus."""
     spark = numbered.sparkSession
     size = len(block.vocabulary) + 1
     rank = min(RANK, size - 1)
-    share = min(1.0, SAMPLE / max(1, windows))
-    sample, path = write_table(numbered.where(F.octet_length("words") > 0).where(  # documents of about SAMPLE passages
-        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1.0, 16 * share) * (1 << 30))).select("doc_id", "words").repartition(8), "svd-sample")
-    share = min(1.0, share / min(1.0, 16 * share)) if windows else 1.0
     items = _item_rows(block, weight)
 
     def times(m: np.ndarray) -> np.ndarray:
         m = m.astype(np.float32)
-        shared = spark.sparkContext.broadcast(m)  # vocabulary of one block by RANK
-        rows = sample.select("doc_id", "words").mapInArrow(frugal(_products(block.kind, weight, share, shared)), "data binary").collect()
         out = ITEM_WEIGHT**2 * gram_times(*items, m)
-        for r in rows:  # one matrix a task of the sample
-            out += np.frombuffer(r["data"], np.float32).reshape(m.shape)
+        if not windows:
+            return out
+        shared = spark.sparkContext.broadcast(m)  # vocabulary of one block by RANK
+        sums = numbered.select("doc_id", "words").mapInArrow(frugal(_products(block.kind, weight, shared)), "part int, data binary")
+        for r in sums.groupBy("part").applyInArrow(_added, "part int, data binary").collect():  # one matrix in all
+            out[r["part"] : r["part"] + PART] += np.frombuffer(r["data"], np.float64).reshape(-1, m.shape[1])
         shared.destroy()
         return out
 
     basis = np.random.default_rng(7).standard_normal((size, rank))
     for _ in range(3):
         basis, _ = np.linalg.qr(times(basis))
-    drop_path(spark, path)
     own = np.zeros((size, len(block.items)))
     own[items[1], items[0]] = items[2]
     basis = np.linalg.qr(np.hstack([own, basis]))[0][:, : max(RANK, len(block.items))]

@@ -253,3 +253,30 @@ def test_a_family_with_an_outlier_is_not_squared(spark):
     found = {(r.a, r.b) for r in across(halves, 80).collect()}
     nodes = [r.node for r in halves.collect()]
     assert found == {(a, b) for a in nodes for b in nodes if a > b and a % 3 != b % 3}
+
+
+def test_the_latent_space_is_of_all_windows(spark):
+    """Sums over any number of tasks are those of every window of every document, multiplied at once."""
+    r = random.Random(8)
+    common = words(r, 50).split()
+    text = lambda n: " ".join(r.choice(common) if r.random() < 0.6 else words(r, 1) for _ in range(n))
+    block = dc.Block([(i, text(30)) for i in range(6)])
+    docs = [(i, text(r.randint(0, 400))) for i in range(120)]
+    weight = np.linspace(0.5, 2.0, len(block.vocabulary) + 1)
+    numbered = frame(spark, docs).select("doc_id", "text").repartition(7).mapInArrow(dc._number(block), "doc_id long, words binary")
+    m = np.random.default_rng(1).standard_normal((len(weight), 5)).astype(np.float32)
+    shared = spark.sparkContext.broadcast(m)
+    found = np.zeros(m.shape)
+    for p in numbered.mapInArrow(dc._products(block.kind, weight, shared), "part int, data binary").groupBy("part").applyInArrow(dc._added, "part int, data binary").collect():
+        found[p["part"] : p["part"] + dc.PART] += np.frombuffer(p["data"]).reshape(-1, 5)
+    wanted = np.zeros(m.shape)
+    for _, t in docs:
+        s = block.numbers(dc.words_of(t)).astype(int)
+        for a in range(0, max(1, len(s) - 32), 32) if len(s) else ():
+            n = np.bincount(s[a : a + 64], minlength=len(weight))
+            row = np.where(n > 0, (1 + np.log(np.maximum(n, 1))) * weight, 0.0)
+            row[0] = np.sqrt(n[0]) * weight[0]
+            row /= np.sqrt((row**2).sum())
+            row[0] = 0
+            wanted += np.outer(row, row @ m)
+    assert np.allclose(found, wanted, rtol=1e-4, atol=1e-4) and np.abs(wanted).max() > 1
