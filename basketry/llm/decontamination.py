@@ -6,11 +6,12 @@ searched for each block:
 1. Every document becomes the sequence of its words' numbers in the block's vocabulary (0: not
    in it), written once to the shared folder.
 2. Document frequencies of the vocabulary are counted over all documents.
-3. A randomised SVD of TF-IDF passages gives a latent space of ``RANK`` dimensions: Spark tasks
-   multiply the passages with a random matrix and Spark sums the products, with power
-   iterations in between.  The passages are all items (weighted) and all windows of
-   the corpus.  The space holds the items' own rows whole, so that the product
-   of an item with a passage is the same in it as over all words.
+3. A randomised SVD of TF-IDF passages gives a latent space of ``RANK`` dimensions: a random
+   matrix is multiplied with the passages' matrix of word pairs, with power iterations in
+   between.  The passages are all items (weighted) and all windows of the corpus.  Spark tasks add up the
+   pairs of words in all windows once, and Spark sums and keeps them; a block of a vocabulary too large
+   for that (``CELLS``) has its windows multiplied in every iteration.  The space holds the items' own
+   rows whole, so that the product of an item with a passage is the same in it as over all words.
 4. Documents are read in windows of ``WINDOW`` words, half overlapping, and an item is looked for
    in a window and as many words on either side as the item has.  A passage holds all that is
    read for ``RUN`` windows.  It is a candidate for an item when their latent product reaches
@@ -58,6 +59,8 @@ RUN = 4
 RANK = 192
 #: Words of the vocabulary in a part of a sum, and about so many entries of windows multiplied at a time.
 PART, ENTRIES = 256, 1 << 12
+#: Most pairs of words that a task adds up, pairs in a part of their sum, and pairs made at a time.
+CELLS, CELLS_PART, PAIRS = 1 << 24, 1 << 14, 1 << 18
 #: Least cosine that the recall of the latent space is tested for; no candidate depends on it.
 COSINE = 0.3
 COVERED = 0.7
@@ -250,6 +253,26 @@ def _tfidf(flat: np.ndarray, first: np.ndarray, last: np.ndarray, weight: np.nda
     return window, word, value
 
 
+def _window_entries(flat: np.ndarray, offsets: np.ndarray, weight: np.ndarray, entries: int) -> Iterator[tuple]:
+    """Of all windows with a known word, about so many entries at a time: (window, word, value) of
+    ``_tfidf`` and what the words outside the vocabulary add to each window's squared length."""
+    _, first, last = _windows(offsets)
+    known = np.concatenate([[0], np.cumsum(flat > 0)])
+    some = np.flatnonzero(known[last] > known[first])  # the others add nothing
+    first, last = first[some], last[some]
+    lead, end = known[first], known[last]
+    outside = (last - first - (end - lead)) * weight[0] ** 2
+    words = flat[flat > 0]
+    upto = np.cumsum(end - lead)
+    cuts = np.searchsorted(upto, np.arange(entries, (upto[-1] if len(upto) else 0) + entries, entries))
+    at = 0
+    for cut in cuts:
+        to = min(int(cut) + 1, len(some))
+        if to > at:
+            yield *_tfidf(words, lead[at:to], end[at:to], weight), outside[at:to]
+        at = to
+
+
 def _products(kind: str, weight: np.ndarray, omega) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The sum over all passages a of a (a omega), in parts of ``PART`` words."""
 
@@ -258,23 +281,93 @@ def _products(kind: str, weight: np.ndarray, omega) -> Callable[[Iterator[pa.Rec
         total = np.zeros(m.shape)
         for batch in batches:
             for _, flat, offsets in _sequences(batch.column(1), kind):
-                _, first, last = _windows(offsets)
-                known = np.concatenate([[0], np.cumsum(flat > 0)])
-                some = np.flatnonzero(known[last] > known[first])  # the others add nothing
-                first, last = first[some], last[some]
-                lead, end = known[first], known[last]
-                outside = (last - first - (end - lead)) * weight[0] ** 2
-                words = flat[flat > 0]
-                entries = np.cumsum(end - lead)
-                cuts = np.searchsorted(entries, np.arange(ENTRIES, (entries[-1] if len(entries) else 0) + ENTRIES, ENTRIES))
-                at = 0
-                for cut in cuts:
-                    to = min(int(cut) + 1, len(some))
-                    if to > at:
-                        gram_times(*_tfidf(words, lead[at:to], end[at:to], weight), m, outside[at:to], total)
-                    at = to
-        parts = range(0, len(total), PART)
-        yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([total[k : k + PART].tobytes() for k in parts], pa.binary())], ["part", "data"])
+                for window, word, value, outside in _window_entries(flat, offsets, weight, ENTRIES):
+                    gram_times(window, word, value, m, outside, total)
+        yield _in_parts(total)
+
+    return run
+
+
+def _in_parts(total: np.ndarray) -> pa.RecordBatch:
+    parts = range(0, len(total), PART)
+    return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([total[k : k + PART].tobytes() for k in parts], pa.binary())], ["part", "data"])
+
+
+def _first_cells(words: int) -> np.ndarray:
+    """The place of the first of the pairs (a, 1), ..., (a, a) of each word a; words count from 1."""
+    a = np.arange(words + 2)
+    return a * (a - 1) // 2
+
+
+def _pair_sums(kind: str, weight: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sums over all passages of the products of two words' entries, in parts of ``CELLS_PART`` pairs:
+    a bit for each pair that has a sum, then these sums."""
+    words = len(weight) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = _first_cells(words)
+        total = np.zeros(base[-1])
+        lower = {}
+        for batch in batches:
+            for _, flat, offsets in _sequences(batch.column(1), kind):
+                for window, word, value, outside in _window_entries(flat, offsets, weight, 16 * ENTRIES):
+                    value = value / np.sqrt(np.bincount(window, value**2) + outside)[window]
+                    start = np.flatnonzero(np.diff(window, prepend=-1))
+                    size = np.diff(start, append=len(window))
+                    row, column = base[word], word - 1
+                    for n in np.unique(size):
+                        if n not in lower:
+                            lower[n] = np.tril_indices(n)
+                        i, j = lower[n]
+                        own, step = start[size == n], max(1, PAIRS // len(i))
+                        for at in range(0, len(own), step):
+                            place = own[at : at + step, None] + np.arange(n)
+                            v = value[place]
+                            np.add.at(total, (row[place][:, i] + column[place][:, j]).ravel(), (v[:, i] * v[:, j]).ravel())
+        for k in range(0, len(total), CELLS_PART):
+            some = total[k : k + CELLS_PART]
+            if some.any():
+                data = np.packbits(some > 0).tobytes() + some[some > 0].astype(np.float32).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k // CELLS_PART], pa.int32()), pa.array([data], pa.binary())], ["part", "data"])
+
+    return run
+
+
+def _summed(cells: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The sums of the parts dealt to a task, whatever the number of tasks that they come from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                size = min(CELLS_PART, cells - part * CELLS_PART)
+                held, own = np.frombuffer(data.as_py(), np.uint8), total.setdefault(part, np.zeros(size))
+                own[np.unpackbits(held[: -(-size // 8)], count=size) > 0] += np.frombuffer(held[-(-size // 8) :].tobytes(), np.float32)
+        for part, own in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["part", "data"])
+
+    return run
+
+
+def _pairs_times(words: int, omega) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs' sums, as a symmetric matrix, times omega; in parts of ``PART`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = omega.value
+        base = _first_cells(words)
+        total = np.zeros(m.shape)
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(data.as_py(), np.float64)
+                cell = np.arange(len(own)) + part * CELLS_PART
+                a = np.searchsorted(base, cell, "right") - 1
+                lo, hi = a[0], a[-1]
+                rows = np.zeros((hi - lo + 1, hi + 1), m.dtype)
+                rows[a - lo, cell - base[a] + 1] = own
+                total[lo : hi + 1] += rows @ m[: hi + 1]
+                rows[np.arange(hi - lo + 1), np.arange(lo, hi + 1)] = 0
+                total[: hi + 1] += rows.T @ m[lo : hi + 1]
+        yield _in_parts(total)
 
     return run
 
@@ -314,6 +407,12 @@ def latent_space(numbered: DataFrame, block: Block, weight: np.ndarray, windows:
     size = len(block.vocabulary) + 1
     rank = min(RANK, size - 1)
     items = _item_rows(block, weight)
+    rows, path = numbered.select("doc_id", "words"), None
+    cells = int(_first_cells(size - 1)[-1])
+    if windows and cells <= CELLS:
+        sums = rows.mapInArrow(frugal(_pair_sums(block.kind, weight)), "part int, data binary")
+        dealt = sums.repartition(1 + cells // (16 * CELLS_PART), "part")
+        rows, path = write_table(dealt.mapInArrow(frugal(_summed(cells)), "part int, data binary"), "word-pairs")
 
     def times(m: np.ndarray) -> np.ndarray:
         m = m.astype(np.float32)
@@ -321,7 +420,8 @@ def latent_space(numbered: DataFrame, block: Block, weight: np.ndarray, windows:
         if not windows:
             return out
         shared = spark.sparkContext.broadcast(m)  # vocabulary of one block by RANK
-        sums = numbered.select("doc_id", "words").mapInArrow(frugal(_products(block.kind, weight, shared)), "part int, data binary")
+        each = _pairs_times(size - 1, shared) if path else _products(block.kind, weight, shared)
+        sums = rows.mapInArrow(frugal(each), "part int, data binary")
         for r in sums.groupBy("part").applyInArrow(_added, "part int, data binary").collect():  # one matrix in all
             out[r["part"] : r["part"] + PART] += np.frombuffer(r["data"], np.float64).reshape(-1, m.shape[1])
         shared.destroy()
@@ -330,6 +430,8 @@ def latent_space(numbered: DataFrame, block: Block, weight: np.ndarray, windows:
     basis = np.random.default_rng(7).standard_normal((size, rank))
     for _ in range(3):
         basis, _ = np.linalg.qr(times(basis))
+    if path:
+        drop_path(spark, path)
     own = np.zeros((size, len(block.items)))
     own[items[1], items[0]] = items[2]
     basis = np.linalg.qr(np.hstack([own, basis]))[0][:, : max(RANK, len(block.items))]

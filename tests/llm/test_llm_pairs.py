@@ -280,3 +280,30 @@ def test_the_latent_space_is_of_all_windows(spark):
             row[0] = 0
             wanted += np.outer(row, row @ m)
     assert np.allclose(found, wanted, rtol=1e-4, atol=1e-4) and np.abs(wanted).max() > 1
+
+
+def test_the_latent_space_reads_the_windows_once(spark, monkeypatch):
+    """Sums of word pairs over any number of tasks and parts give the space of windows multiplied one by one."""
+    r = random.Random(9)
+    common = words(r, 200).split()
+    text = lambda n: " ".join(r.choice(common) if r.random() < 0.6 else words(r, 1) for _ in range(n))
+    block = dc.Block([(i, text(40)) for i in range(8)])
+    docs = [(i, text(r.randint(0, 300))) for i in range(100)]
+    weight = np.linspace(0.5, 2.0, len(block.vocabulary) + 1)
+    read = spark.sparkContext.accumulator(0)
+    number = dc._number(block)
+
+    def counted(batches):
+        for batch in number(batches):
+            read.add(batch.num_rows)
+            yield batch
+
+    numbered = frame(spark, docs).select("doc_id", "text").repartition(5).mapInArrow(counted, "doc_id long, words binary")
+    monkeypatch.setattr(dc, "RANK", 24)
+    monkeypatch.setattr(dc, "CELLS_PART", 1000, raising=False)
+    once = dc.latent_space(numbered, block, weight, 500)
+    assert read.value == len(docs)
+    monkeypatch.setattr(dc, "CELLS", 0, raising=False)
+    each = dc.latent_space(numbered, block, weight, 500)
+    assert read.value == 4 * len(docs)
+    assert once.shape == each.shape and np.allclose(once @ once.T, each @ each.T, atol=1e-3)
