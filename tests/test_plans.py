@@ -2,6 +2,7 @@
 
 import re
 
+from basketry.functions import ordering
 from basketry.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +28,19 @@ def test_no_single_partition_window_over_rows(spark):
         for line in plan.splitlines():
             if re.search(r"\bWindow \[", line) and "], [], [" in line:
                 assert any(b in line for b in bounded), (name, line)
+
+
+def test_rows_find_their_range_in_compiled_steps(spark, monkeypatch):
+    """The range of a row is the number of split points up to its key, for any number of these, and no
+    expression of the plan is interpreted row by row."""
+    rows = [(None if k % 11 == 0 else float(k * 7 % 40), k) for k in range(200)]
+    df = spark.createDataFrame(rows, "x double, id int")
+    key = lambda x, k: (x is not None, x or 0.0, k)  # noqa: E731 - nulls first
+    for n in (0, 1, 2, 7, 8, 13):
+        cuts = [(float(3 * i), 50) for i in range(n)]
+        monkeypatch.setattr(ordering, "_boundaries", lambda *_: cuts)
+        ranged, _ = ordering._ranged(df, ["x", "id"], None)
+        assert ranged.columns == ["x", "id", "_range"]
+        for r in ranged.collect():
+            assert r["_range"] == sum(key(*c) <= key(r["x"], r["id"]) for c in cuts), (n, r)
+        assert "lambda" not in ranged._jdf.queryExecution().optimizedPlan().toString()
