@@ -59,10 +59,15 @@ _DOCS, _NODES, _SINGLE, _SHARED = 0, 1, 2, 3
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    """Integer columns as bytes: lengths, then each column byte plane by byte plane."""
+    """Integer columns as bytes: lengths, then each column byte plane by byte plane, every plane a block
+    of its own: planes of hashes' low bytes don't spoil the codes of the others."""
     head = np.array([len(columns), *(len(c) for c in columns)], np.int64).tobytes()
-    body = [np.ascontiguousarray(c.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *body]))
+    planes = [row.tobytes() for c in columns for row in c.astype("<u8").view(np.uint8).reshape(-1, 8).T]
+    packer = zstandard.ZstdCompressor(level=1).compressobj(size=len(head) + sum(map(len, planes)))
+    out = [packer.compress(head)]
+    for plane in planes:
+        out += [packer.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK), packer.compress(plane)]
+    return b"".join([*out, packer.flush()])
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -178,15 +183,18 @@ def _deal(kind: int, gram: np.ndarray, at: np.ndarray, node: np.ndarray, buckets
         if i < j:
             rows, index = np.unique(at[i:j], return_inverse=True)
             table = np.where(rows < 0, np.uint64(0), node[rows])
-            g = gram[i:j]
-            out.append((kind, b, _pack(np.diff(g, prepend=np.uint64(0)), index.ravel(), table, (rows < 0).astype(np.int64))))
+            order = np.argsort(table, kind="stable")
+            place = np.empty(len(rows), np.int64)
+            place[order] = np.arange(len(rows))
+            g, table = gram[i:j], table[order]
+            out.append((kind, b, _pack(np.diff(g, prepend=np.uint64(0)), place[index.ravel()], np.diff(table, prepend=np.uint64(0)), (rows < 0)[order].astype(np.int64))))
     return out
 
 
 def _entries(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     step, index, table, none = _unpack(data)
     index = index.astype(np.int64)
-    return np.cumsum(step, dtype=np.uint64), table[index], none[index] > 0
+    return np.cumsum(step, dtype=np.uint64), np.cumsum(table, dtype=np.uint64)[index], none[index] > 0
 
 
 def _to_blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -307,3 +307,20 @@ def test_the_latent_space_reads_the_windows_once(spark, monkeypatch):
     each = dc.latent_space(numbered, block, weight, 500)
     assert read.value == 4 * len(docs)
     assert once.shape == each.shape and np.allclose(once @ once.T, each @ each.T, atol=1e-3)
+
+
+def test_packed_columns_take_little_more_than_they_hold():
+    """Low bytes of hashes don't lengthen the codes of the planes beside them, and names are kept as steps."""
+    from basketry.llm import ngram_join as nj
+
+    r = np.random.default_rng(4)
+    hashes, index = r.integers(0, 1 << 32, 20_000).astype(np.uint64), r.integers(0, 1200, 20_000)
+    data = nj._pack(hashes, index, np.zeros(0, np.uint64))
+    back = nj._unpack(data)
+    assert (back[0] == hashes).all() and (back[1] == index).all() and len(back[2]) == 0
+    assert len(data) < 20_000 * (32 + 10.6) / 8
+    gram, at = np.sort(r.integers(0, 1 << 56, 5_000).astype(np.uint64)), r.integers(-1, 700, 5_000)
+    node = r.integers(0, 1 << 63, 700).astype(np.uint64) * np.uint64(2)
+    ((_, bucket, data),) = nj._deal(1, gram, at, node, 1, np.zeros(5_000, np.int64))
+    g, named, none = nj._entries(data)
+    assert bucket == 0 and (g == gram).all() and (none == (at < 0)).all() and (named[at >= 0] == node[at[at >= 0]]).all()
