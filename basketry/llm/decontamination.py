@@ -73,8 +73,8 @@ LEAST_WORDS = 5
 BLOCK_PARTS = 200
 #: How much more an item weighs in the SVD than a passage of the corpus.
 ITEM_WEIGHT = 10.0
-#: Words searched at a time in a task.
-WORDS = 500_000
+#: Words read, and passages multiplied with the latent space, at a time in a task.
+WORDS, PASSAGES = 500_000, 64
 
 _SEPARATOR = separators(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _SENTENCE_END = re.compile(r"[.!?](?=\s)|[。！？]|\n")
@@ -504,8 +504,8 @@ def _search(block: Block, weight: np.ndarray, model) -> Callable[[Iterator[pa.Re
                     continue
                 reach = np.concatenate([[0], np.cumsum(most[flat])])
                 may = np.flatnonzero(reach[last] - reach[first] >= least.min())
-                for a in range(0, len(may), 512):
-                    some = may[a : a + 512]
+                for a in range(0, len(may), PASSAGES):
+                    some = may[a : a + PASSAGES]
                     size = last[some] - first[some]
                     place = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
                     key = np.unique(np.repeat(np.arange(len(some)), size) * len(weight) + flat[place])

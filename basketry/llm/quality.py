@@ -164,7 +164,9 @@ def classify(docs: DataFrame, host: Column, path: Column, model: dict, keep: lis
     path_posterior, score and accepted (score of one half or more)."""
     prepare(docs.sparkSession)
     named = [F.col(c).alias(f"kept_{c}") for c in keep]
-    rows = docs.select(*named, host.alias("host"), path.alias("path"), evidence(F.col("text"), model).alias("evidence"))
+    # never null, and Spark has to know: else a filter on the score has each task judge its texts twice, in two Python workers
+    found = F.coalesce(evidence(F.col("text"), model), F.lit(0.0))
+    rows = docs.select(*named, host.alias("host"), path.alias("path"), found.alias("evidence"))
     sums, prior = site_sums(rows.select("host", "path", "evidence"), model)
     sites, _ = write_table(sums, "quality-sites")
     sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), "n_host", "s_host", "n_path", "s_path")

@@ -324,3 +324,30 @@ def test_packed_columns_take_little_more_than_they_hold():
     ((_, bucket, data),) = nj._deal(1, gram, at, node, 1, np.zeros(5_000, np.int64))
     g, named, none = nj._entries(data)
     assert bucket == 0 and (g == gram).all() and (none == (at < 0)).all() and (named[at >= 0] == node[at[at >= 0]]).all()
+
+
+def test_a_search_needs_no_more_memory_for_passages_that_share_many_words():
+    import tracemalloc
+    from types import SimpleNamespace
+
+    r = random.Random(5)
+    items = [(i, words(r, 40)) for i in range(60)]
+    block = dc.Block(items)
+    size = len(block.vocabulary)
+    weight = dc.word_weights(np.array([4000] + [5] * size))
+    space = np.random.default_rng(1).standard_normal((size + 1, dc.RANK))
+    item, word, value = dc._item_rows(block, weight)
+    space[:, : len(items)] = 0
+    space[word, item] = value
+    basis = np.linalg.qr(space)[0].astype(np.float32)
+    own = block.numbers(dc.words_of(items[7][1]))
+    sequences = [np.random.default_rng(i).integers(1, size + 1, 300).astype(block.kind) for i in range(600)]
+    sequences[300] = np.concatenate([sequences[300], own])
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "words": [s.tobytes() for s in sequences]})
+    search = dc._search(block, weight, SimpleNamespace(value=dc.retrieval(block, weight, basis)))
+    tracemalloc.start()
+    found = [x for b in search(iter([batch])) for x in zip(*(b.column(k).to_pylist() for k in (0, 1)))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (300, 7) in found
+    assert peak < 50e6, peak
