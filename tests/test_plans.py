@@ -44,3 +44,13 @@ def test_rows_find_their_range_in_compiled_steps(spark, monkeypatch):
         for r in ranged.collect():
             assert r["_range"] == sum(key(*c) <= key(r["x"], r["id"]) for c in cuts), (n, r)
         assert "lambda" not in ranged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_at_ranks_of_very_many_ranges(spark):
+    """The plan that selects keys does not grow with the number of ranges (200 overflowed the driver's stack)."""
+    rows = [(float(k * 7919 % 1009) / 8, k) for k in range(20_000)]
+    df = spark.createDataFrame(rows, "x double, id int")
+    ordered = sorted(rows)
+    ranks = [1, 2, 150, 4001, 19_999, 20_000]
+    for some, n in ((ranks, 1000), ([9000], 1000), (ranks, 1), (ranks, 2)):
+        assert ordering.keys_at_ranks(df, ["x", "id"], some, n_ranges=n) == [ordered[r - 1] for r in some]
