@@ -2,6 +2,7 @@
 objective; boosted trees rank better than chance; a constant feature has no importance."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +203,41 @@ def test_leaves_by_bits_and_by_walking_are_the_same():
         mixed = bins.copy()
         mixed[:, f] = donors[:, f]
         assert (found[f] == walked(mixed)).all()
+
+
+def test_a_level_scores_only_its_rows_and_scores_are_written_with_the_root(tmp_path, monkeypatch):
+    """Sums of a level against plain ones; rows of other nodes are not scored, trees that are in the written
+    scores are not scored again, and a repeated task leaves the same scores."""
+    rng = np.random.default_rng(8)
+    bins, y, held = rng.integers(0, 200, (50_000, 3)).astype(np.uint8), rng.integers(0, 2, 50_000), rng.random(50_000) < 0.1
+    stored = boosting.Stored(str(tmp_path), 3, -0.5, ["a"])
+    blocks = [np.int64(len(b)).tobytes() + b.T.tobytes() + (y[i : i + len(b)] + 2 * held[i : i + len(b)]).astype(np.uint8).tobytes()
+              for i, b in ((i, bins[i : i + 30_000]) for i in (0, 30_000))]
+    boosting._save(f"{tmp_path}/rows", "a", iter(blocks))
+    last, growing = boosting.Tree(), boosting.Tree()
+    for tree, f, cut in ((last, 0, 120), (growing, 2, 30)):
+        tree.add(0.0, 1)
+        tree.split(0, f, cut, 1.0, tree.add(0.25, 1), tree.add(-0.75, 1))
+    scored, real = [], boosting.column_scores
+    monkeypatch.setattr(boosting, "column_scores", lambda columns, base, made: (scored.append((columns.shape[1], len(made))), real(columns, base, made))[1])
+
+    def sums(*args):
+        found = list(boosting._sums(stored, *args)(iter([pa.RecordBatch.from_pydict({"id": [0]})])))[0].to_pylist()
+        return {(r["node"], r["feature"], r["bin"]): (r["g"], r["h"], r["n"]) for r in found}
+
+    def plain(rows, node):
+        p = 1 / (1 + np.exp(-(-0.5 + np.where(bins[:, 0] <= 120, 0.25, -0.75))))
+        g, h = np.rint((p - y) * 2.0**32), np.rint(p * (1 - p) * 2.0**32)
+        return {(node, f, int(b)): (int(g[at].sum()), int(h[at].sum()), int(at.sum())) for f in range(3) for b in np.unique(bins[rows, f])
+                for at in [rows & (bins[:, f] == b)]}
+
+    root = boosting.Tree()
+    root.add(0.0, 1)
+    for _ in range(2):
+        found = sums([last], root, [0], 32, False, True)
+        assert found.pop((-1, -1, -1))[2] == held.sum() and found == plain(~held, 0)
+    stored.version, scored[:] = 1, []
+    rows = ~held & (bins[:, 2] <= 30)
+    assert sums([], growing, [1], 32) == plain(rows, 1)
+    assert sum(n for n, _ in scored) == rows.sum() < 10_000 and not any(trees for _, trees in scored)
+    assert len(list((tmp_path / "scores1").iterdir())) == 1
